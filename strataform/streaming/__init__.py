@@ -1,0 +1 @@
+"""Incremental change feeds with Structured Streaming."""
