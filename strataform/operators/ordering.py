@@ -146,9 +146,12 @@ def row_number_within(df: DataFrame, keys: Sequence[str], order_by: Sequence[Col
     """``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order_by)``, skew-safe."""
     pos_col = "_sf_rn_pos"
     positioned = with_position(df, [*keys, *order_by], pos_col)
-    firsts = positioned.groupBy(*keys).agg(F.min(pos_col).alias("_sf_rn_first"))
-    joined = positioned.join(firsts, [positioned[k].eqNullSafe(firsts[k]) for k in keys])
-    return joined.select(*[positioned[c] for c in df.columns],
+    renamed = {k: f"_sf_rn_key_{i}" for i, k in enumerate(keys)}
+    firsts = positioned.groupBy(*[F.col(k).alias(renamed[k]) for k in keys]).agg(
+        F.min(pos_col).alias("_sf_rn_first"))
+    cond = [F.col(k).eqNullSafe(F.col(renamed[k])) for k in keys]
+    joined = positioned.join(firsts, cond)
+    return joined.select(*df.columns,
                          (F.col(pos_col) - F.col("_sf_rn_first") + 1).alias(name))
 
 

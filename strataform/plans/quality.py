@@ -45,6 +45,21 @@ def _metric_rows(agg: DataFrame) -> DataFrame:
     return agg.select(F.inline(F.array(*pairs)))
 
 
+def side_by_side(frames: list[DataFrame]) -> DataFrame:
+    """Columns of several one-row aggregates in one row, without a join: the
+    values are stacked as text (exact for numbers), pivoted back and cast to
+    their original types."""
+    types = {c: t for f in frames for c, t in f.dtypes}
+    long = None
+    for f in frames:
+        pairs = [F.struct(F.lit(c).alias("metric"), F.col(c).cast("string").alias("value"))
+                 for c in f.columns]
+        part = f.select(F.inline(F.array(*pairs)))
+        long = part if long is None else long.unionByName(part)
+    wide = long.groupBy().pivot("metric", list(types)).agg(F.first("value"))
+    return wide.select(*[F.col(c).cast(t).alias(c) for c, t in types.items()])
+
+
 def _orphans(fact: DataFrame, dim: DataFrame, key: str, name: str) -> DataFrame:
     return fact.select(key).join(dim.select(key), key, "left_anti").agg(
         F.count(F.lit(1)).alias(name))
