@@ -365,10 +365,10 @@ def _checks_sql() -> str:
          "OVER (PARTITION BY customer_id ORDER BY change_date DESC, change_seq DESC) = 1) e WHERE "
          "(SELECT max(city) FROM dim_customer_scd2 d WHERE d.customer_id = e.customer_id "
          "AND d.is_current = 1) IS DISTINCT FROM e.city)"),
-        ("Q13", "first version keeps the staged city",
+        ("Q13", "original version keeps the staged city",
          "(SELECT count(*) FROM (SELECT DISTINCT customer_id FROM applied_changes) e WHERE "
          "(SELECT d.city FROM dim_customer_scd2 d WHERE d.customer_id = e.customer_id "
-         "ORDER BY d.valid_from, d.customer_key LIMIT 1) IS DISTINCT FROM "
+         "ORDER BY d.customer_key LIMIT 1) IS DISTINCT FROM "
          "(SELECT s.city FROM stg_customers s WHERE s.customer_id = e.customer_id))"),
         ("Q14", "every closed customer version has a valid_to",
          "(SELECT count(*) FROM dim_customer_scd2 WHERE is_current = 0 AND valid_to IS NULL)"),

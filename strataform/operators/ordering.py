@@ -9,8 +9,8 @@ puts a hot key in one task.  The operators here are built on one primitive,
    because the sort key is completed with tie-breaker columns) and sort
    inside each range,
 2. tag rows with ``monotonically_increasing_id`` (partition id in the upper
-   bits, row index in the lower 33 bits) and checkpoint to the shared
-   checkpoint folder, so a lost executor cannot change the numbering,
+   bits, row index in the lower 33 bits) and write them as a table in the
+   shared checkpoint folder, so a lost executor cannot change the numbering,
 3. count rows per partition (one row per partition), turn the counts into
    start offsets and add them back through a broadcast of that small table.
 
@@ -26,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_table
 
 _ROW_BITS = 33
 _ROW_MASK = (1 << _ROW_BITS) - 1
@@ -50,14 +50,14 @@ def with_position(df: DataFrame, order_by: Sequence[ColumnOrName], name: str = "
     """Add ``name`` = start, start+1, ... following ``order_by`` (a total order).
 
     ``order_by`` should identify rows uniquely; ties get distinct positions in
-    an order fixed by the checkpoint.  Runs two small jobs (range sampling and
-    the checkpoint) when called; the returned DataFrame is otherwise lazy.
+    an order fixed by the materialisation.  Runs two jobs when called (range
+    sampling, then one pass that sorts, tags and writes to the checkpoint
+    folder); the returned DataFrame is otherwise lazy.
     """
-    ensure_checkpoint_dir(df.sparkSession)
     sort_cols = _sort_cols(order_by)
     ordered = (df.repartitionByRange(_num_ranges(df, partitions), *sort_cols)
                .sortWithinPartitions(*sort_cols))
-    tagged = ordered.withColumn(_MID, F.monotonically_increasing_id()).checkpoint(eager=True)
+    tagged = scratch_table(ordered.withColumn(_MID, F.monotonically_increasing_id()), "position")
     pid = F.shiftright(F.col(_MID), _ROW_BITS)
     # One row per partition: bounded by the partition count, safe to broadcast.
     counts = tagged.groupBy(pid.alias(_PID)).agg(F.count(F.lit(1)).alias(_CNT))
@@ -72,25 +72,24 @@ def prefix_sum(df: DataFrame, order_by: Sequence[ColumnOrName], value: str,
                name: str = "running_total", partitions: int | None = None) -> DataFrame:
     """Running sum of the integer column ``value`` along a global total order.
 
-    A distributed scan: range-partition and sort (as ``with_position``),
-    checkpoint, sum inside each range with an Arrow batch function
-    (``mapInPandas``, no shuffle), then add the totals of all earlier ranges
-    (one row per range, broadcast).
+    A distributed scan: range-partition and sort (as ``with_position``), sum
+    inside each range with an Arrow batch function (``mapInPandas``, rows
+    arrive in sorted order, no shuffle) and write to the checkpoint folder,
+    then add the totals of all earlier ranges (one row per range, broadcast).
     """
     from pyspark.sql import types as T
 
-    ensure_checkpoint_dir(df.sparkSession)
     sort_cols = _sort_cols(order_by)
     ordered = (df.repartitionByRange(_num_ranges(df, partitions), *sort_cols)
                .sortWithinPartitions(*sort_cols))
     tagged = ordered.select(
         *df.columns, F.monotonically_increasing_id().alias(_MID),
-        F.coalesce(F.col(value).cast("bigint"), F.lit(0)).alias("_sf_v")).checkpoint(eager=True)
+        F.coalesce(F.col(value).cast("bigint"), F.lit(0)).alias("_sf_v"))
     local_name = "_sf_local"
     out_schema = T.StructType(tagged.schema.fields + [T.StructField(local_name, T.LongType(), False)])
 
     def running(batches):
-        # One call per partition (= one range); batches arrive in row order.
+        # One call per range partition; batches arrive in sorted row order.
         carry = 0
         for pdf in batches:
             if pdf.empty:
@@ -99,9 +98,9 @@ def prefix_sum(df: DataFrame, order_by: Sequence[ColumnOrName], value: str,
             carry = int(local.iloc[-1])
             yield pdf.assign(**{local_name: local.astype("int64")})
 
-    local = tagged.mapInPandas(running, out_schema)
+    local = scratch_table(tagged.mapInPandas(running, out_schema), "prefix")
     pid = F.shiftright(F.col(_MID), _ROW_BITS)
-    totals = tagged.groupBy(pid.alias(_PID)).agg(F.sum("_sf_v").alias(_CNT))
+    totals = local.groupBy(pid.alias(_PID)).agg(F.sum("_sf_v").alias(_CNT))
     offsets = totals.select(
         _PID, (F.sum(_CNT).over(Window.orderBy(_PID)) - F.col(_CNT)).alias(_OFF))
     joined = local.join(F.broadcast(offsets), pid == F.col(_PID))

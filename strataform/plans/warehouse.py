@@ -9,22 +9,27 @@ Two ways to run it:
   under ``out_root`` and the next step reads what was written (a lineage cut
   that also survives lost executors), stops at the first failure, and
   returns an audit table ``(step, description, layer, tables, rows, seconds,
-  status)`` that is also written to ``<out_root>/audit/steps``.
+  status)`` that is also written to ``<out_root>/audit/steps``.  Layers:
+  ``staging/stg_*``, ``star/dim_*``, ``star/fact_sales``,
+  ``star/dim_customer_v2`` (after the SCD2 batch), ``marts/mart_*``,
+  ``audit/{checks,row_counts,steps}``.
 """
 
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators import dimensions as dims
 from ..operators.facts import fact_sales
 from ..operators.scd import scd2_apply
-from ..operators.staging import extract_all
+from ..operators.staging import extract, extract_all
 from ..session import apply_required_conf
 from ..sources import driver_tables
 from ..sources.io import read_table, table_path, write_table
@@ -123,87 +128,108 @@ def row_count_report(staging: dict[str, DataFrame], star: dict[str, DataFrame])
 # Audited layered job
 # --------------------------------------------------------------------------
 
-def _write_layer(spark: SparkSession, tables: dict[str, DataFrame], root: str,
-                 layer: str) -> tuple[dict[str, DataFrame], int]:
-    """Write each table, read it back by its declared schema; total rows."""
-    written, rows = {}, 0
-    for name, df in tables.items():
+Builder = Callable[[], DataFrame]
+
+
+def write_layer(spark: SparkSession, builders: dict[str, Builder], root: str, layer: str,
+                parallel: bool = True) -> tuple[dict[str, DataFrame], dict[str, int]]:
+    """Build and write each table of a layer; return the written tables (read
+    back by their declared schema) and their row counts.
+
+    Tables of one layer are independent, so they are built and written from
+    a small thread pool: their Spark jobs run side by side and fill the
+    cluster instead of queueing one after another.  Row counts come from an
+    ``Observation`` on the write itself, not from a second job.
+    """
+    def one(name: str) -> tuple[str, DataFrame, int]:
+        obs = Observation(f"{layer}.{name}")
         path = table_path(root, layer, name)
-        write_table(df, path)
-        written[name] = read_table(spark, path, schemas.ALL.get(name))
-        rows += written[name].count()
-    return written, rows
+        write_table(builders[name]().observe(obs, F.count(F.lit(1)).alias("rows")), path)
+        return name, read_table(spark, path, schemas.ALL.get(name)), int(obs.get["rows"])
+
+    names = list(builders)
+    if parallel and len(names) > 1:
+        with ThreadPoolExecutor(max_workers=min(8, len(names))) as pool:
+            results = list(pool.map(one, names))
+    else:
+        results = [one(n) for n in names]
+    return {n: df for n, df, _ in results}, {n: rows for n, _, rows in results}
 
 
 def run_build(spark: SparkSession, sf_dir: str, out_root: str,
               changes: DataFrame | None = None) -> DataFrame:
-    """Run every layer in order with timings; stop at the first failure."""
+    """Run every layer in order with timings; stop at the first failure.
+
+    The operational source is read in place (views over the driver tables,
+    as a live source would be read); staging is the first layer written.
+    """
     apply_required_conf(spark)
     audit: list[tuple] = []
     state: dict[str, dict[str, DataFrame]] = {}
-    source_changes: list[DataFrame] = []
+    batch: list[DataFrame] = []
 
     def step_source():
-        src = driver_tables.source_tables(spark, sf_dir)
-        state["source"], n = _write_layer(spark, src, out_root, "source")
-        return "source", len(src), n
+        state["source"] = driver_tables.source_tables(spark, sf_dir)
+        return "source", len(state["source"]), None
 
     def step_extract():
-        state["staging"], n = _write_layer(spark, extract_all(state["source"]), out_root,
-                                           "staging")
-        return "staging", len(state["staging"]), n
+        src = state["source"]
+        builders = {f"stg_{name}": (lambda name=name: extract(src[name], name)) for name in src}
+        state["staging"], rows = write_layer(spark, builders, out_root, "staging")
+        return "staging", len(rows), sum(rows.values())
 
     def step_dimensions():
         stg = state["staging"]
-        store, n_total = _write_layer(spark, {"dim_store": dims.dim_store(stg["stg_stores"])},
-                                      out_root, "star")
-        others = {
-            "dim_date": dims.dim_date_for_orders(spark, stg["stg_sales_orders"]),
-            "dim_employee": dims.dim_employee(stg["stg_employees"], store["dim_store"]),
-            "dim_product": dims.dim_product(stg["stg_products"], stg["stg_categories"]),
-            "dim_customer": dims.dim_customer_initial(stg["stg_customers"]),
+        store = dims.dim_store(stg["stg_stores"])
+        builders = {
+            "dim_date": lambda: dims.dim_date_for_orders(spark, stg["stg_sales_orders"]),
+            "dim_store": lambda: store,
+            "dim_employee": lambda: dims.dim_employee(stg["stg_employees"], store),
+            "dim_product": lambda: dims.dim_product(stg["stg_products"], stg["stg_categories"]),
+            "dim_customer": lambda: dims.dim_customer_initial(stg["stg_customers"]),
         }
-        written, n = _write_layer(spark, others, out_root, "star")
-        state["star"] = {**store, **written}
-        return "star", 5, n_total + n
+        state["star"], rows = write_layer(spark, builders, out_root, "star")
+        return "star", len(rows), sum(rows.values())
 
     def step_fact():
         stg, star = state["staging"], state["star"]
-        fact = fact_sales(stg["stg_sales_order_items"], stg["stg_sales_orders"],
-                          stg["stg_product_returns"], star["dim_customer"], star["dim_product"],
-                          star["dim_store"], star["dim_employee"])
-        written, n = _write_layer(spark, {"fact_sales": fact}, out_root, "star")
+        builders = {"fact_sales": lambda: fact_sales(
+            stg["stg_sales_order_items"], stg["stg_sales_orders"], stg["stg_product_returns"],
+            star["dim_customer"], star["dim_product"], star["dim_store"], star["dim_employee"])}
+        written, rows = write_layer(spark, builders, out_root, "star")
         state["star"].update(written)
-        return "star", 1, n
+        return "star", 1, rows["fact_sales"]
 
     def step_scd2():
-        batch = changes if changes is not None else customer_city_changes(state["source"])
-        source_changes.append(batch)
+        batch.append(changes if changes is not None else customer_city_changes(state["source"]))
         # Never overwrite the folder being read: the new version gets its own.
-        new_dim = scd2_apply(state["star"]["dim_customer"], batch)
-        written, n = _write_layer(spark, {"dim_customer_v2": new_dim}, out_root, "star")
+        builders = {"dim_customer_v2": lambda: scd2_apply(state["star"]["dim_customer"], batch[0])}
+        written, rows = write_layer(spark, builders, out_root, "star")
         state["star"]["dim_customer"] = written["dim_customer_v2"]
-        return "star", 1, n
+        return "star", 1, rows["dim_customer_v2"]
 
     def step_marts():
-        marts = {name: build(state["star"]) for name, build in MARTS.items()}
-        written, n = _write_layer(spark, marts, out_root, "marts")
-        for name, df in written.items():
+        builders = {name: (lambda build=build: build(state["star"])) for name, build in MARTS.items()}
+        state["marts"], rows = write_layer(spark, builders, out_root, "marts")
+        for name, df in state["marts"].items():
             df.createOrReplaceTempView(name)
-        return "marts", len(marts), n
+        return "marts", len(rows), sum(rows.values())
 
     def step_checks():
-        checks = run_checks(state["source"], state["staging"], state["star"], source_changes[0])
-        counts = row_count_report(state["staging"], state["star"])
-        written, n = _write_layer(spark, {"checks": checks, "row_counts": counts}, out_root,
-                                  "audit")
-        failed = written["checks"].where(~F.col("passed")).count()
-        if failed:
-            raise RuntimeError(f"{failed} data-quality checks failed")
-        return "audit", 2, n
+        failed = Observation("failed_checks")
+        builders = {
+            "checks": lambda: run_checks(state["source"], state["staging"], state["star"],
+                                         batch[0], state["marts"]).observe(
+                failed, F.coalesce(F.sum((~F.col("passed")).cast("int")), F.lit(0)).alias("n")),
+            "row_counts": lambda: row_count_report(state["staging"], state["star"]),
+        }
+        _, rows = write_layer(spark, builders, out_root, "audit")
+        if failed.get["n"]:
+            raise RuntimeError(f"{failed.get['n']} data-quality checks failed")
+        return "audit", len(rows), sum(rows.values())
 
     steps = [
-        ("source", "derive operational tables from the driver tables", step_source),
+        ("source", "read the operational tables (derived from the driver tables)", step_source),
         ("extract", "EXTRACT source -> staging", step_extract),
         ("dimensions", "LOAD calendar, store, employee, product, customer", step_dimensions),
         ("fact", "LOAD fact_sales", step_fact),
@@ -219,7 +245,7 @@ def run_build(spark: SparkSession, sf_dir: str, out_root: str,
             audit.append((name, description, layer, n_tables, rows,
                           round(time.perf_counter() - t0, 3), "OK"))
         except Exception as exc:  # fail fast, but keep the audit row
-            audit.append((name, description, None, 0, 0,
+            audit.append((name, description, None, 0, None,
                           round(time.perf_counter() - t0, 3), f"FAILED: {exc}"[:500]))
             failure = exc
             break

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the warehouse relies on for correct results.
 REQUIRED_CONF = {
@@ -90,3 +91,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="strataform-ckpt-")
     sc.setCheckpointDir(folder)
     return sc.getCheckpointDir() or folder
+
+
+def scratch_table(df: DataFrame, label: str) -> DataFrame:
+    """Cut lineage: write ``df`` as Parquet under the checkpoint folder and
+    read it back.
+
+    One job (the upstream plan runs once), the result survives lost
+    executors, and the planner sees real file sizes for later join choices.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
