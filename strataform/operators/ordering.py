@@ -39,10 +39,13 @@ def _sort_cols(order_by: Sequence[ColumnOrName]) -> list[Column]:
     return [F.col(c).asc() if isinstance(c, str) else c for c in order_by]
 
 
-def _num_ranges(df: DataFrame, partitions: int | None) -> int:
-    if partitions:
-        return partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _range_partition(df: DataFrame, sort_cols: list[Column], partitions: int | None) -> DataFrame:
+    """Range-partition and sort inside each range.  Without an explicit count
+    adaptive execution sizes the ranges (merging neighbours keeps the global
+    order), so small inputs do not fan out into many tiny tasks."""
+    ranged = (df.repartitionByRange(partitions, *sort_cols) if partitions
+              else df.repartitionByRange(*sort_cols))
+    return ranged.sortWithinPartitions(*sort_cols)
 
 
 def with_position(df: DataFrame, order_by: Sequence[ColumnOrName], name: str = "pos",
@@ -54,9 +57,7 @@ def with_position(df: DataFrame, order_by: Sequence[ColumnOrName], name: str = "
     sampling, then one pass that sorts, tags and writes to the checkpoint
     folder); the returned DataFrame is otherwise lazy.
     """
-    sort_cols = _sort_cols(order_by)
-    ordered = (df.repartitionByRange(_num_ranges(df, partitions), *sort_cols)
-               .sortWithinPartitions(*sort_cols))
+    ordered = _range_partition(df, _sort_cols(order_by), partitions)
     tagged = scratch_table(ordered.withColumn(_MID, F.monotonically_increasing_id()), "position")
     pid = F.shiftright(F.col(_MID), _ROW_BITS)
     # One row per partition: bounded by the partition count, safe to broadcast.
@@ -79,9 +80,7 @@ def prefix_sum(df: DataFrame, order_by: Sequence[ColumnOrName], value: str,
     """
     from pyspark.sql import types as T
 
-    sort_cols = _sort_cols(order_by)
-    ordered = (df.repartitionByRange(_num_ranges(df, partitions), *sort_cols)
-               .sortWithinPartitions(*sort_cols))
+    ordered = _range_partition(df, _sort_cols(order_by), partitions)
     tagged = ordered.select(
         *df.columns, F.monotonically_increasing_id().alias(_MID),
         F.coalesce(F.col(value).cast("bigint"), F.lit(0)).alias("_sf_v"))
@@ -154,30 +153,40 @@ def row_number_within(df: DataFrame, keys: Sequence[str], order_by: Sequence[Col
                          (F.col(pos_col) - F.col("_sf_rn_first") + 1).alias(name))
 
 
-def neighbor_within(df: DataFrame, keys: Sequence[str], order_by: Sequence[ColumnOrName],
+def neighbor_values(positioned: DataFrame, pos_col: str, keys: Sequence[str],
                     values: dict[str, str], offset: int = 1) -> DataFrame:
-    """Values of the row ``offset`` places away inside each key group.
+    """On a frame numbered by ``with_position`` (keys first in the order), add
+    the ``values`` (source -> output name) of the row ``offset`` positions
+    away when it belongs to the same key group, else NULL.
 
-    ``LEAD(v, k)`` (offset k > 0) or ``LAG(v, -k)`` (k < 0) ``OVER (PARTITION
-    BY keys ORDER BY order_by)``, computed as a join of position p with
-    position p + k (a unique key, so no skew) plus a check that both rows
-    belong to the same group.  ``values`` maps source column -> output name.
+    A join of position p with position p + offset: a unique key on both
+    sides, so no key is hot however large its group.
     """
-    pos_col = "_sf_nb_pos"
-    positioned = with_position(df, [*keys, *order_by], pos_col)
-    nxt = positioned.select(
+    other = positioned.select(
         (F.col(pos_col) - offset).alias(pos_col),
-        *[F.col(k).alias(f"_sf_next_{k}") for k in keys],
+        *[F.col(k).alias(f"_sf_nb_{k}") for k in keys],
         *[F.col(src).alias(dst) for src, dst in values.items()])
-    joined = positioned.join(nxt, pos_col, "left")
+    joined = positioned.join(other, pos_col, "left")
     same_group = F.lit(True)
     for k in keys:
-        same_group = same_group & F.col(k).eqNullSafe(F.col(f"_sf_next_{k}"))
+        same_group = same_group & F.col(k).eqNullSafe(F.col(f"_sf_nb_{k}"))
     return joined.select(
-        *[positioned[c] for c in df.columns],
+        *[c for c in positioned.columns],
         *[F.when(same_group, F.col(dst)).alias(dst) for dst in values.values()])
 
 
+def neighbor_within(df: DataFrame, keys: Sequence[str], order_by: Sequence[ColumnOrName],
+                    values: dict[str, str], offset: int = 1) -> DataFrame:
+    """Values of the row ``offset`` places away inside each key group.
+
+    ``LEAD(v, k)`` (offset k > 0) or ``LAG(v, -k)`` (k < 0) ``OVER (PARTITION
+    BY keys ORDER BY order_by)``, skew-safe (see ``neighbor_values``).
+    """
+    pos_col = "_sf_nb_pos"
+    positioned = with_position(df, [*keys, *order_by], pos_col)
+    return neighbor_values(positioned, pos_col, keys, values, offset).drop(pos_col)
+
+
 def lead_within(df: DataFrame, keys: Sequence[str], order_by: Sequence[ColumnOrName],
                 values: dict[str, str]) -> DataFrame:
     """``LEAD(v) OVER (PARTITION BY keys ORDER BY order_by)``, skew-safe."""

@@ -30,8 +30,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ordering import (assign_keys, lag_within, latest_per_key, lead_within, next_key_start,
-                       row_number_within)
+from .ordering import (assign_keys, lag_within, latest_per_key, neighbor_values,
+                       next_key_start, row_number_within, with_position)
 
 _D, _SEQ, _NEXT_D, _FIRST_D = "_sf_change_date", "_sf_change_seq", "_sf_next_date", "_sf_first_date"
 
@@ -74,15 +74,17 @@ def scd2_apply(dim: DataFrame, changes: DataFrame, *, natural_key: str = "custom
             changed = changed | ~F.col(t).eqNullSafe(before)
         chg = with_prev.where(changed).select(nk, _D, *tracked, _SEQ)
 
-    chained = lead_within(chg, [nk], [_D, _SEQ], {_D: _NEXT_D})
+    # One numbering of the applied changes in (key, date, sequence) order
+    # serves twice: as the surrogate keys of the new versions (continuing
+    # after the largest existing key) and to find each change's successor.
+    numbered = with_position(chg, [nk, _D, _SEQ], sk, start=next_key_start(dim, sk))
+    chained = neighbor_values(numbered, sk, [nk], {_D: _NEXT_D}, 1)
     attrs = latest.select(nk, *carried)
-    new_versions = chained.join(attrs, nk).select(
-        nk, *carried, *tracked,
+    new_keyed = chained.join(attrs, nk).select(
+        sk, nk, *carried, *tracked,
         F.col(_D).alias("valid_from"),
         F.date_sub(F.col(_NEXT_D), 1).alias("valid_to"),
-        F.when(F.col(_NEXT_D).isNull(), 1).otherwise(0).alias("is_current"),
-        _SEQ)
-    new_keyed = assign_keys(new_versions, sk, [nk, "valid_from", _SEQ], next_key_start(dim, sk))
+        F.when(F.col(_NEXT_D).isNull(), 1).otherwise(0).alias("is_current"))
 
     first = chg.groupBy(nk).agg(F.min(_D).alias(_FIRST_D))
     closing = (F.col("is_current") == 1) & F.col(_FIRST_D).isNotNull()

@@ -32,7 +32,8 @@ SCALE_CONF = {
     # is under this bound; anything larger stays a shuffle join.
     "spark.sql.autoBroadcastJoinThreshold": "32m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
-    "spark.sql.parquet.compression.codec": "zstd",
+    # Small driver-built tables (audit rows) go to the JVM as Arrow batches.
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
 
@@ -93,6 +94,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or folder
 
 
+def local_table(spark: SparkSession, rows: list[tuple], schema) -> DataFrame:
+    """A small table built on the driver (audit rows, check results), sent to
+    the JVM as one Arrow batch instead of through Python worker processes."""
+    import pandas as pd
+
+    names = [f.name for f in schema.fields]
+    return spark.createDataFrame(pd.DataFrame.from_records(rows, columns=names), schema)
+
+
 def scratch_table(df: DataFrame, label: str) -> DataFrame:
     """Cut lineage: write ``df`` as Parquet under the checkpoint folder and
     read it back.
