@@ -19,8 +19,6 @@ shuffle join and adaptive execution splits skewed keys.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,9 +35,6 @@ def resolve_customer_current(orders: DataFrame, dim_customer: DataFrame) -> Data
     return orders.join(current, "customer_id")
 
 
-_BEFORE_ALL = dt.date(1, 1, 1)
-
-
 def resolve_customer_as_of(orders: DataFrame, dim_customer: DataFrame,
                            open_first_version: bool = False,
                            date_col: str = "order_date") -> DataFrame:
@@ -67,8 +62,9 @@ def resolve_customer_as_of(orders: DataFrame, dim_customer: DataFrame,
     if open_first_version:
         first = versions.groupBy("customer_id").agg(F.min("valid_from").alias("_sf_first"))
         versions = versions.join(first, "customer_id")
-        start = F.when(F.col("valid_from") == F.col("_sf_first"), F.lit(_BEFORE_ALL)).otherwise(
-            F.col("valid_from"))
+        # NULL sorts before every date: the first version is open on the left.
+        start = F.when(F.col("valid_from") == F.col("_sf_first"),
+                       F.lit(None).cast("date")).otherwise(F.col("valid_from"))
     payload = [c for c in orders.columns if c != "customer_id"]
     typed_nulls = {c: F.lit(None).cast(t) for c, t in orders.dtypes if c != "customer_id"}
     ev_versions = versions.select(
