@@ -1,0 +1,42 @@
+"""Change files landing over time are applied as SCD2 batches by a stream."""
+
+import datetime as dt
+import os
+import tempfile
+
+from strataform import schemas
+from strataform.streaming.change_feed import (CHANGE_SCHEMA, latest_version, read_version,
+                                              start_change_stream, write_version)
+
+D = dt.date
+
+
+def test_change_stream_applies_each_batch_once(spark):
+    base = tempfile.mkdtemp(prefix="strataform-stream-")
+    landing, dim_root, ckpt = (os.path.join(base, p) for p in ("landing", "dim", "ckpt"))
+    initial = spark.createDataFrame([
+        (1, 1, "Ann", "Nantes", 1, D(2022, 4, 25), D(2022, 4, 25), None, 1),
+        (2, 2, "Bob", "Lyon", 0, D(2021, 1, 1), D(2021, 1, 1), None, 1),
+    ], schemas.STAR["dim_customer"])
+    write_version(initial, dim_root, 0)
+
+    def land(rows, name):
+        spark.createDataFrame(rows, CHANGE_SCHEMA).coalesce(1).write.parquet(
+            os.path.join(landing, name))
+
+    os.makedirs(landing, exist_ok=True)
+    land([(1, D(2024, 7, 1), "Paris", 0)], "f1")
+    q = start_change_stream(spark, landing + "/*", dim_root, ckpt)
+    q.awaitTermination(300)
+    assert latest_version(spark, dim_root) == 1
+
+    land([(1, D(2024, 9, 1), "Nice", 0), (9, D(2024, 9, 1), "Metz", 0)], "f2")
+    q = start_change_stream(spark, landing + "/*", dim_root, ckpt)
+    q.awaitTermination(300)
+    # The first file is not applied again; the second one is.
+    assert latest_version(spark, dim_root) == 2
+    rows = sorted((r["customer_key"], r["city"], r["valid_to"], r["is_current"])
+                  for r in read_version(spark, dim_root).where("customer_id = 1").collect())
+    assert rows == [(1, "Nantes", D(2024, 6, 30), 0), (3, "Paris", D(2024, 8, 31), 0),
+                    (4, "Nice", None, 1)]
+    assert read_version(spark, dim_root).count() == 4
