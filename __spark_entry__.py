@@ -53,6 +53,8 @@ def q_fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_fact_sales_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fact with the customer version valid on the order date (after the
+    change batch); orders placed before signup stay unresolved."""
     wh = _wh(spark, sf_dir)
     stg, star = wh.staging, wh.star_after
     return fact_sales(stg["stg_sales_order_items"], stg["stg_sales_orders"],
@@ -61,6 +63,16 @@ def q_fact_sales_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
                       with_fact_id=False)
 
 
+def q_fact_sales_as_of_open_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Same, with each customer's first version also covering earlier dates."""
+    wh = _wh(spark, sf_dir)
+    stg, star = wh.staging, wh.star_after
+    return fact_sales(stg["stg_sales_order_items"], stg["stg_sales_orders"],
+                      stg["stg_product_returns"], star["dim_customer"], star["dim_product"],
+                      star["dim_store"], star["dim_employee"], key_mode="as_of",
+                      open_first_version=True, with_fact_id=False)
+
+
 def q_customer_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _wh(spark, sf_dir).changes
 
@@ -150,6 +162,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["customer_history"] = q_customer_history
     q["fact_sales"] = q_fact_sales
     q["fact_sales_as_of"] = q_fact_sales_as_of
+    q["fact_sales_as_of_open_first"] = q_fact_sales_as_of_open_first
     for name in marts.MARTS:
         q[name] = _mart(name)
     q["mart_customer_geography_after_scd2"] = _mart("mart_customer_geography", after=True)

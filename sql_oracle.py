@@ -204,6 +204,28 @@ as_of_match AS (
     JOIN usable_versions v ON v.customer_id = h.customer_id AND v.valid_from <= h.order_date
     QUALIFY row_number() OVER (PARTITION BY h.order_id ORDER BY v.valid_from DESC, v.customer_key DESC) = 1
 ),
+usable_versions_open AS (
+    SELECT v.*,
+           CASE WHEN v.valid_from = min(v.valid_from) OVER (PARTITION BY v.customer_id)
+                THEN NULL ELSE v.valid_from END AS start_from
+    FROM usable_versions v
+),
+as_of_open_match AS (
+    SELECT h.order_id, h.order_date, v.customer_key, v.valid_to
+    FROM order_headers h
+    JOIN usable_versions_open v
+      ON v.customer_id = h.customer_id AND (v.start_from IS NULL OR v.start_from <= h.order_date)
+    QUALIFY row_number() OVER (PARTITION BY h.order_id
+                               ORDER BY v.start_from DESC NULLS LAST, v.customer_key DESC) = 1
+),
+fact_sales_as_of_open AS (
+    SELECT f.date_key, m.customer_key, f.product_key, f.store_key, f.employee_key, f.order_id,
+           f.order_item_id, f.quantity, f.unit_price_paid, f.discount_pct, f.line_revenue,
+           f.line_cost, f.line_margin, f.is_returned
+    FROM fact_lines f
+    JOIN as_of_open_match m ON m.order_id = f.order_id
+    WHERE m.valid_to IS NULL OR f.order_date <= m.valid_to
+),
 fact_sales_as_of AS (
     SELECT f.date_key, m.customer_key, f.product_key, f.store_key, f.employee_key, f.order_id,
            f.order_item_id, f.quantity, f.unit_price_paid, f.discount_pct, f.line_revenue,
@@ -420,6 +442,7 @@ SELECT customer_key, customer_id, full_name, city, valid_from, valid_to, is_curr
 FROM dim_customer_scd2""")
     out["fact_sales"] = _with(f"SELECT {FACT_COLS} FROM fact_sales")
     out["fact_sales_as_of"] = _with(f"SELECT {FACT_COLS} FROM fact_sales_as_of")
+    out["fact_sales_as_of_open_first"] = _with(f"SELECT {FACT_COLS} FROM fact_sales_as_of_open")
     for name, body in _marts("dim_customer_initial").items():
         out[name] = _with(body)
     out["mart_customer_geography_after_scd2"] = _with(
