@@ -320,6 +320,12 @@ STG_COLS = {
     "product_returns": "return_id, order_item_id, return_date, reason",
 }
 
+STAGED_KEYS = {
+    "stores": "store_id", "employees": "employee_id", "categories": "category_id",
+    "products": "product_id", "customers": "customer_id", "sales_orders": "order_id",
+    "sales_order_items": "order_item_id", "product_returns": "return_id",
+}
+
 FACT_COLS = ("date_key, customer_key, product_key, store_key, employee_key, order_id, order_item_id, "
              "quantity, unit_price_paid, discount_pct, line_revenue, line_cost, line_margin, is_returned")
 
@@ -417,6 +423,9 @@ def _checks_sql() -> str:
         ("Q19c", "every employee's store_key resolves",
          "(SELECT count(*) FROM dim_employee e WHERE NOT EXISTS "
          "(SELECT 1 FROM dim_store s WHERE s.store_key = e.store_key))"),
+        ("Q19d", "staged primary keys are unique", " + ".join(
+            f"(SELECT coalesce(sum(n - 1), 0) FROM (SELECT count(*) AS n FROM stg_{t} "
+            f"GROUP BY {key} HAVING count(*) > 1) d)" for t, key in STAGED_KEYS.items())),
     ]
     rows = "\nUNION ALL\n".join(
         f"SELECT '{cid}' AS check_id, '{desc.replace(chr(39), chr(39) * 2)}' AS description, "

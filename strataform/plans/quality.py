@@ -28,6 +28,8 @@ Q17     product mart has one row per (category, product name) sold
 Q18     top product of the mart is the top product computed from the fact
 Q19a-c  star primary keys unique, declared NOT NULL columns filled, employee
         store key resolves
+Q19d    staged primary keys unique (also catches an order with 100 or more
+        lines, whose derived order-item ids would collide)
 """
 
 from __future__ import annotations
@@ -175,6 +177,8 @@ def measure_jobs(source: dict[str, DataFrame] | None, staging: dict[str, DataFra
         key, _ = schemas.STAR_KEYS[table]
         jobs[f"dup_{table}"] = _duplicates(star[table], [key])
         jobs[f"null_{table}"] = _null_cells(star[table], table)
+    for table, keys in schemas.SOURCE_KEYS.items():
+        jobs[f"stgdup_{table}"] = _duplicates(staging[f"stg_{table}"], keys)
     if changes is not None:
         jobs["scd2"] = scd2_measures(dim_c, changes, staging["stg_customers"])
     return jobs
@@ -237,6 +241,8 @@ def _check_specs(with_changes: bool) -> list[tuple[str, str, Callable[[Metrics],
         ("Q19a", "star primary keys are unique", total("dup")),
         ("Q19b", "declared NOT NULL star columns are filled", total("null")),
         ("Q19c", "every employee's store_key resolves", value("orphan_employee_store.n")),
+        ("Q19d", "staged primary keys are unique",
+         lambda m: sum(int(_num(m[f"stgdup_{t}.n"])) for t in schemas.SOURCE_KEYS)),
     ]
     if with_changes:
         specs[11:11] = [
