@@ -3,14 +3,18 @@
 Join plan (written in this order on purpose; Spark does not reorder joins
 without cost-based optimisation):
 
-1. order headers resolve customer, store and employee keys first - the
-   header table is several times smaller than the lines;
-2. lines resolve the product key and unit cost;
-3. returns are reduced to one row per order line (a count, combined
-   map-side) before the outer join, so a line returned many times is never a
-   hot join key; the fact row is then repeated once per return, as the
-   row-level outer join of the source does;
-4. lines join headers on ``order_id`` (both sides shuffled on that key).
+1. order headers resolve customer, store and employee keys on their own -
+   the header table is several times smaller than the lines, so any shuffle
+   these joins need moves headers, not lines;
+2. lines join headers on ``order_id`` first: when both staged tables are
+   bucketed on ``order_id`` (as ``run_build`` writes them) the lines are not
+   shuffled at all (only headers, if a dimension join re-partitioned them);
+3. then the product key and unit cost (a broadcast when ``dim_product`` is
+   small, else one shuffle of the lines on ``product_id``);
+4. returns are reduced to one row per order line (a count, combined
+   map-side) and joined last, so a line returned many times is never a hot
+   join key; the fact row is then repeated once per return, as the row-level
+   outer join of the source does.
 
 Dimension sides are broadcast by the planner only when their measured size
 is under ``spark.sql.autoBroadcastJoinThreshold``; otherwise the join stays a
@@ -118,6 +122,7 @@ def fact_sales(stg_items: DataFrame, stg_orders: DataFrame, stg_returns: DataFra
 
     lines = stg_items.select("order_item_id", "order_id", "product_id", "quantity",
                              "unit_price_paid", "discount_pct")
+    lines = lines.join(headers, "order_id")
     lines = lines.join(dim_product.select("product_id", "product_key", "unit_cost"), "product_id")
 
     returns = stg_returns.where(F.col("order_item_id").isNotNull()).groupBy("order_item_id").agg(
@@ -127,7 +132,7 @@ def fact_sales(stg_items: DataFrame, stg_orders: DataFrame, stg_returns: DataFra
              .withColumn("_sf_copy", F.explode(F.sequence(F.lit(1), F.coalesce(copies, F.lit(1)))))
              .withColumn("is_returned", flag(F.col("_sf_returns").isNotNull())))
 
-    fact = lines.join(headers, "order_id").select(
+    fact = lines.select(
         "date_key", "customer_key", "product_key", "store_key", "employee_key",
         "order_id", "order_item_id", "quantity", "unit_price_paid", "discount_pct",
         line_amount("quantity", "unit_price_paid").alias("line_revenue"),

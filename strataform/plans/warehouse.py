@@ -17,6 +17,7 @@ Two ways to run it:
 
 from __future__ import annotations
 
+import hashlib
 import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -33,7 +34,7 @@ from ..operators.scd import scd2_apply
 from ..operators.staging import extract, extract_all
 from ..session import apply_required_conf, local_table
 from ..sources import driver_tables
-from ..sources.io import read_table, table_path, write_table
+from ..sources.io import conform, read_table, table_path, write_bucketed_table, write_table
 from .marts import MARTS
 from .quality import CHECK_SCHEMA, evaluate_checks
 
@@ -110,7 +111,7 @@ _CACHE: dict[tuple, Warehouse] = {}
 
 def derive_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """All layers over the driver tables in ``sf_dir`` (memoised per session)."""
-    cache_key = (id(spark), sf_dir.rstrip("/"))
+    cache_key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if cache_key in _CACHE:
         return _CACHE[cache_key]
     apply_required_conf(spark)
@@ -142,8 +143,13 @@ def row_count_report(staging: dict[str, DataFrame], star: dict[str, DataFrame])
 Builder = Callable[[], DataFrame]
 
 
+# Staged tables bucketed on the key of the fact's largest join.
+BUCKETED = {"stg_sales_order_items": "order_id", "stg_sales_orders": "order_id"}
+
+
 def write_layer(spark: SparkSession, builders: dict[str, Builder], root: str, layer: str,
-                parallel: bool = True) -> tuple[dict[str, DataFrame], dict[str, int]]:
+                parallel: bool = True, bucketed: dict[str, str] | None = None
+                ) -> tuple[dict[str, DataFrame], dict[str, int]]:
     """Build and write each table of a layer; return the written tables (read
     back by their declared schema) and their row counts.
 
@@ -152,11 +158,22 @@ def write_layer(spark: SparkSession, builders: dict[str, Builder], root: str, la
     cluster instead of queueing one after another.  Row counts come from an
     ``Observation`` on the write itself, not from a second job.
     """
+    bucketed = bucketed or {}
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tag = hashlib.sha1(root.encode()).hexdigest()[:10]
+
     def one(name: str) -> tuple[str, DataFrame, int]:
         obs = Observation(f"{layer}.{name}")
         path = table_path(root, layer, name)
-        write_table(builders[name]().observe(obs, F.count(F.lit(1)).alias("rows")), path)
-        return name, read_table(spark, path, schemas.ALL.get(name)), int(obs.get["rows"])
+        df = builders[name]().observe(obs, F.count(F.lit(1)).alias("rows"))
+        if name in bucketed:
+            table = f"{name}_{tag}"
+            write_bucketed_table(df, path, table, bucketed[name], buckets)
+            written = conform(spark.table(table), schemas.ALL[name])
+        else:
+            write_table(df, path)
+            written = read_table(spark, path, schemas.ALL.get(name))
+        return name, written, int(obs.get["rows"])
 
     names = list(builders)
     if parallel and len(names) > 1:
@@ -192,7 +209,8 @@ def run_build(spark: SparkSession, sf_dir: str, out_root: str,
         builders = {f"stg_{name}": (lambda name=name: extract(
             src[name].observe(read_obs[name], F.count(F.lit(1)).alias("n")), name))
             for name in src}
-        state["staging"], rows = write_layer(spark, builders, out_root, "staging")
+        state["staging"], rows = write_layer(spark, builders, out_root, "staging",
+                                             bucketed=BUCKETED)
         for name, short in (("sales_orders", "src_orders"), ("sales_order_items", "src_items"),
                             ("customers", "src_customers")):
             known[f"{short}.n"] = read_obs[name].get["n"]

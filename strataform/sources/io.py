@@ -78,6 +78,27 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
     writer.parquet(path)
 
 
+def write_bucketed_table(df: DataFrame, path: str, table: str, by: str, buckets: int) -> None:
+    """Write a table hash-bucketed (and sorted) on ``by`` and register it.
+
+    Tables bucketed the same way on a join key are joined without a shuffle:
+    staged order lines and order headers are both bucketed on ``order_id``,
+    the key of the largest join of the load.
+    """
+    (df.write.mode("overwrite").bucketBy(buckets, by).sortBy(by)
+     .option("path", path).saveAsTable(table))
+
+
+def register_bucketed_table(spark: SparkSession, table: str, path: str, schema: T.StructType,
+                            by: str, buckets: int) -> DataFrame:
+    """Attach the bucketing of files written by ``write_bucketed_table`` in an
+    earlier session (the catalog entry, not the data, is recreated)."""
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet "
+              f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets} BUCKETS LOCATION '{path}'")
+    return spark.table(table)
+
+
 def publish(df: DataFrame, name: str) -> DataFrame:
     """Publish a DataFrame under a SQL name (``CREATE OR REPLACE VIEW``)."""
     df.createOrReplaceTempView(name)
