@@ -50,9 +50,11 @@ def scd2_apply(dim: DataFrame, changes: DataFrame, *, natural_key: str = "custom
     chg = changes.select(
         nk, F.col(date_col).cast("date").alias(_D), *tracked,
         (F.col(sequence_col) if sequence_col else F.lit(0)).cast("bigint").alias(_SEQ))
-    # Unknown keys: no version to close, none to copy from.
-    chg = chg.join(dim.select(nk), nk, "left_semi")
-    affected = dim.join(chg.select(nk), nk, "left_semi")
+    # Unknown keys: no version to close, none to copy from.  Key sets are
+    # deduplicated (map-side) before the semi-joins, so a key with many
+    # changes or versions is one row on the probing side.
+    chg = chg.join(dim.select(nk).distinct(), nk, "left_semi")
+    affected = dim.join(chg.select(nk).distinct(), nk, "left_semi")
     latest = latest_per_key(affected, [nk], ["valid_from", sk])
 
     if late == "reject":

@@ -57,7 +57,14 @@ class Warehouse:
     staging: dict[str, DataFrame]
     star: dict[str, DataFrame]            # after the initial load
     changes: DataFrame                    # the SCD2 change batch
-    star_after: dict[str, DataFrame] = field(default_factory=dict)  # after the batch
+    _after: dict[str, DataFrame] = field(default_factory=dict)
+
+    @property
+    def star_after(self) -> dict[str, DataFrame]:
+        """The star schema after the change batch (built on first use)."""
+        if not self._after:
+            self._after.update(apply_customer_changes(self.star, self.changes))
+        return self._after
 
 
 def customer_city_changes(source: dict[str, DataFrame]) -> DataFrame:
@@ -82,15 +89,22 @@ def customer_city_changes(source: dict[str, DataFrame]) -> DataFrame:
 
 def build_star(spark: SparkSession, staging: dict[str, DataFrame],
                key_mode: str = "current") -> dict[str, DataFrame]:
-    """Dimensions and fact from the staging layer (the transform-and-load step)."""
+    """Dimensions and fact from the staging layer (the transform-and-load step).
+
+    The dimensions' key assignments are independent jobs, started together.
+    """
     dim_store = dims.dim_store(staging["stg_stores"])
-    star = {
-        "dim_date": dims.dim_date_for_orders(spark, staging["stg_sales_orders"]),
-        "dim_store": dim_store,
-        "dim_employee": dims.dim_employee(staging["stg_employees"], dim_store),
-        "dim_product": dims.dim_product(staging["stg_products"], staging["stg_categories"]),
-        "dim_customer": dims.dim_customer_initial(staging["stg_customers"]),
+    builders = {
+        "dim_date": lambda: dims.dim_date_for_orders(spark, staging["stg_sales_orders"]),
+        "dim_store": lambda: dim_store,
+        "dim_employee": lambda: dims.dim_employee(staging["stg_employees"], dim_store),
+        "dim_product": lambda: dims.dim_product(staging["stg_products"],
+                                                staging["stg_categories"]),
+        "dim_customer": lambda: dims.dim_customer_initial(staging["stg_customers"]),
     }
+    with ThreadPoolExecutor(max_workers=len(builders)) as pool:
+        futures = {name: pool.submit(build) for name, build in builders.items()}
+        star = {name: future.result() for name, future in futures.items()}
     star["fact_sales"] = fact_sales(
         staging["stg_sales_order_items"], staging["stg_sales_orders"],
         staging["stg_product_returns"], star["dim_customer"], star["dim_product"],
@@ -120,7 +134,6 @@ def derive_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     star = build_star(spark, staging)
     changes = customer_city_changes(source)
     wh = Warehouse(source, staging, star, changes)
-    wh.star_after = apply_customer_changes(star, changes)
     _CACHE[cache_key] = wh
     return wh
 
