@@ -293,6 +293,7 @@ def run_build(spark: SparkSession, sf_dir: str, out_root: str,
         ("checks", "cross-layer data-quality checks and row counts", step_checks),
     ]
     failure = None
+    started = time.perf_counter()
     for name, description, run in steps:
         t0 = time.perf_counter()
         try:
@@ -304,6 +305,9 @@ def run_build(spark: SparkSession, sf_dir: str, out_root: str,
                           round(time.perf_counter() - t0, 3), f"FAILED: {exc}"[:500]))
             failure = exc
             break
+    audit.append(("total", "whole build", None, sum(a[3] for a in audit),
+                  sum(a[4] or 0 for a in audit if a[2] is not None),
+                  round(time.perf_counter() - started, 3), "FAILED" if failure else "OK"))
     audit_df = local_table(spark, audit, AUDIT_SCHEMA)
     write_table(audit_df.coalesce(1), table_path(out_root, "audit", "steps"))
     if failure is not None:

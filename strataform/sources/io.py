@@ -27,6 +27,19 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return conform(df, schema) if schema is not None else df
 
 
+def load_source_tables(spark: SparkSession, folder: str, fmt: str = "parquet",
+                       options: dict | None = None) -> dict[str, DataFrame]:
+    """Bulk load of the eight operational tables from an export folder
+    (``<folder>/<table>`` in Parquet, CSV, JSON or ORC), each read with its
+    declared schema; CSV defaults to a header line."""
+    from ..schemas import SOURCE
+
+    opts = {"header": "true"} if fmt == "csv" else {}
+    opts.update(options or {})
+    return {name: read_table(spark, f"{folder.rstrip('/')}/{name}", schema, fmt, opts)
+            for name, schema in SOURCE.items()}
+
+
 def read_jdbc(spark: SparkSession, url: str, table: str, schema: T.StructType,
               properties: dict | None = None, partition_column: str | None = None,
               lower_bound: int | None = None, upper_bound: int | None = None,

@@ -21,7 +21,8 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 def test_run_build_writes_every_layer_and_passes_checks(spark):
     out = tempfile.mkdtemp(prefix="strataform-test-build-")
     audit = {r["step"]: r for r in run_build(spark, SF_SMALL, out).collect()}
-    assert list(audit) == ["source", "extract", "dimensions", "fact", "scd2", "marts", "checks"]
+    assert list(audit) == ["source", "extract", "dimensions", "fact", "scd2", "marts", "checks",
+                           "total"]
     assert all(r["status"] == "OK" for r in audit.values())
     checks = spark.read.parquet(os.path.join(out, "audit", "checks")).collect()
     assert len(checks) == 24 and all(r["passed"] for r in checks)
