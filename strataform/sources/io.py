@@ -21,7 +21,8 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     with ``schema`` given nothing is inferred, so the scan stays a single pass.
     """
     reader = spark.read.format(fmt).options(**(options or {}))
-    if schema is not None and fmt != "parquet":
+    if schema is not None:
+        # A declared schema also spares the footer-reading job of inference.
         reader = reader.schema(schema)
     df = reader.load(path)
     return conform(df, schema) if schema is not None else df
@@ -92,14 +93,14 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
 
 
 def write_bucketed_table(df: DataFrame, path: str, table: str, by: str, buckets: int) -> None:
-    """Write a table hash-bucketed (and sorted) on ``by`` and register it.
+    """Write a table hash-bucketed on ``by`` and register it.
 
     Tables bucketed the same way on a join key are joined without a shuffle:
     staged order lines and order headers are both bucketed on ``order_id``,
-    the key of the largest join of the load.
+    the key of the largest join of the load.  No write-side sort: a bucket
+    holds one file per writing task, so the join sorts its input anyway.
     """
-    (df.write.mode("overwrite").bucketBy(buckets, by).sortBy(by)
-     .option("path", path).saveAsTable(table))
+    df.write.mode("overwrite").bucketBy(buckets, by).option("path", path).saveAsTable(table)
 
 
 def register_bucketed_table(spark: SparkSession, table: str, path: str, schema: T.StructType,
@@ -108,7 +109,7 @@ def register_bucketed_table(spark: SparkSession, table: str, path: str, schema:
     earlier session (the catalog entry, not the data, is recreated)."""
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet "
-              f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets} BUCKETS LOCATION '{path}'")
+              f"CLUSTERED BY ({by}) INTO {buckets} BUCKETS LOCATION '{path}'")
     return spark.table(table)
 
 
