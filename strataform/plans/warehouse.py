@@ -159,6 +159,14 @@ Builder = Callable[[], DataFrame]
 # Staged tables bucketed on the key of the fact's largest join.
 BUCKETED = {"stg_sales_order_items": "order_id", "stg_sales_orders": "order_id"}
 
+# Tables stored in one folder per value of a column.  Customer versions are
+# split by ``is_current``: loads and the geography mart read current
+# versions only, and partition pruning skips the closed history.
+PARTITIONED = {"dim_customer": ["is_current"], "dim_customer_v2": ["is_current"]}
+
+# Declared schema of tables whose name differs from their declaration.
+DECLARED_AS = {"dim_customer_v2": "dim_customer"}
+
 
 def write_layer(spark: SparkSession, builders: dict[str, Builder], root: str, layer: str,
                 parallel: bool = True, bucketed: dict[str, str] | None = None
@@ -184,11 +192,12 @@ def write_layer(spark: SparkSession, builders: dict[str, Builder], root: str, la
             write_bucketed_table(df, path, table, bucketed[name], buckets)
             written = conform(spark.table(table), schemas.ALL[name])
         else:
-            write_table(df, path)
+            write_table(df, path, partition_by=PARTITIONED.get(name, ()))
             # Read back with the writer's own schema: no inference job.
             written = spark.read.schema(df.schema).parquet(path)
-            if name in schemas.ALL:
-                written = conform(written, schemas.ALL[name])
+            declared = schemas.ALL.get(DECLARED_AS.get(name, name))
+            if declared is not None:
+                written = conform(written, declared)
         return name, written, int(obs.get["rows"])
 
     names = list(builders)
@@ -212,9 +221,10 @@ def run_build(spark: SparkSession, sf_dir: str, out_root: str,
     state: dict[str, dict[str, DataFrame]] = {}
     batch: list[DataFrame] = []
     known: dict[str, object] = {}
+    persisted: list[DataFrame] = []
 
     def step_source():
-        state["source"] = driver_tables.source_tables(spark, sf_dir)
+        state["source"] = driver_tables.source_tables(spark, sf_dir, persisted)
         return "source", len(state["source"]), None
 
     def step_extract():
@@ -230,6 +240,8 @@ def run_build(spark: SparkSession, sf_dir: str, out_root: str,
         for name, short in (("sales_orders", "src_orders"), ("sales_order_items", "src_items"),
                             ("customers", "src_customers")):
             known[f"{short}.n"] = read_obs[name].get["n"]
+        for df in persisted:
+            df.unpersist()
         return "staging", len(rows), sum(rows.values())
 
     def step_dimensions():
