@@ -125,7 +125,7 @@ _CACHE: dict[tuple, Warehouse] = {}
 
 def derive_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """All layers over the driver tables in ``sf_dir`` (memoised per session)."""
-    cache_key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    cache_key = (id(spark), spark.conf.get("spark.app.id", ""), sf_dir.rstrip("/"))
     if cache_key in _CACHE:
         return _CACHE[cache_key]
     apply_required_conf(spark)

@@ -76,20 +76,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     session (tests, the benchmark) without that setting gets a fresh folder
     under the system temp directory.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session has no local context
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured is None and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir() or configured
-    if not sc.master.startswith("local"):
+        if sc is not None:
+            sc.setCheckpointDir(configured)
+            return sc.getCheckpointDir() or configured
+        return configured
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at a shared folder "
             "(HDFS, object store) before running the warehouse on a cluster")
     folder = tempfile.mkdtemp(prefix="strataform-ckpt-")
+    if sc is None:
+        spark.conf.set("spark.checkpoint.dir", folder)
+        return folder
     sc.setCheckpointDir(folder)
     return sc.getCheckpointDir() or folder
 

@@ -149,3 +149,24 @@ def test_scd2_invariants(spark, changes):
             assert a["valid_to"] == b["valid_from"] - dt.timedelta(days=1)
     keys = [r["customer_key"] for r in out]
     assert sorted(keys) == list(range(1, len(out) + 1))
+
+
+def test_empty_change_batch_changes_nothing(spark):
+    out = scd2_apply(_initial(spark), _changes(spark, []))
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, _initial(spark).collect()))
+
+
+def test_scd2_on_another_dimension(spark):
+    """Any key and tracked columns: a product's cost history."""
+    products = spark.createDataFrame([
+        (1, 10, "Lamp", "Home", D(2023, 1, 1), None, 1, 6.0),
+        (2, 11, "Desk", "Office", D(2023, 1, 1), None, 1, 80.0),
+    ], "product_key long, product_id long, product_name string, category_name string, "
+       "valid_from date, valid_to date, is_current int, unit_cost double")
+    changes = spark.createDataFrame([(10, D(2024, 5, 1), 7.5)],
+                                    "product_id long, change_date date, unit_cost double")
+    out = scd2_apply(products, changes, natural_key="product_id", surrogate_key="product_key",
+                     tracked=["unit_cost"])
+    lamp = sorted((r["product_key"], r["unit_cost"], r["valid_to"], r["is_current"])
+                  for r in out.where("product_id = 10").collect())
+    assert lamp == [(1, 6.0, D(2024, 4, 30), 0), (3, 7.5, None, 1)]
