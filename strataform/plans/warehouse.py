@@ -168,6 +168,14 @@ PARTITIONED = {"dim_customer": ["is_current"], "dim_customer_v2": ["is_current"]
 DECLARED_AS = {"dim_customer_v2": "dim_customer"}
 
 
+def build_database(spark: SparkSession, root: str) -> str:
+    """Catalog database of one build (bucketed tables are registered there);
+    its location is inside the build folder."""
+    name = "strataform_" + hashlib.sha1(root.encode()).hexdigest()[:12]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{table_path(root, '_catalog', name)}'")
+    return name
+
+
 def write_layer(spark: SparkSession, builders: dict[str, Builder], root: str, layer: str,
                 parallel: bool = True, bucketed: dict[str, str] | None = None
                 ) -> tuple[dict[str, DataFrame], dict[str, int]]:
@@ -181,14 +189,14 @@ def write_layer(spark: SparkSession, builders: dict[str, Builder], root: str, la
     """
     bucketed = bucketed or {}
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tag = hashlib.sha1(root.encode()).hexdigest()[:10]
+    database = build_database(spark, root) if bucketed else None
 
     def one(name: str) -> tuple[str, DataFrame, int]:
         obs = Observation(f"{layer}.{name}")
         path = table_path(root, layer, name)
         df = builders[name]().observe(obs, F.count(F.lit(1)).alias("rows"))
         if name in bucketed:
-            table = f"{name}_{tag}"
+            table = f"{database}.{name}"
             write_bucketed_table(df, path, table, bucketed[name], buckets)
             written = conform(spark.table(table), schemas.ALL[name])
         else:
