@@ -170,3 +170,14 @@ def test_scd2_on_another_dimension(spark):
     lamp = sorted((r["product_key"], r["unit_cost"], r["valid_to"], r["is_current"])
                   for r in out.where("product_id = 10").collect())
     assert lamp == [(1, 6.0, D(2024, 4, 30), 0), (3, 7.5, None, 1)]
+
+
+def test_skip_unchanged_compares_with_the_value_before_each_change(spark):
+    batch = _changes(spark, [(2, D(2024, 1, 1), "Lyon"), (2, D(2024, 2, 1), "Nice"),
+                             (2, D(2024, 3, 1), "Nice"), (2, D(2024, 4, 1), "Lyon")])
+    rows = _rows(scd2_apply(_initial(spark), batch, skip_unchanged=True), 2)
+    assert [(r[1], r[2], r[3], r[4]) for r in rows] == [
+        ("Lyon", D(2021, 1, 1), D(2024, 1, 31), 0),
+        ("Nice", D(2024, 2, 1), D(2024, 3, 31), 0),
+        ("Lyon", D(2024, 4, 1), None, 1),
+    ]
