@@ -88,3 +88,43 @@ def test_latest_per_key(spark):
     df = _frame(spark, rows, "k int, d string, v string").withColumn("d", F.to_date("d"))
     got = {r["k"]: r["v"] for r in latest_per_key(df, ["k"], ["d"]).collect()}
     assert got == {1: "y", 2: "z"}
+
+
+@pytest.fixture
+def many_small_partitions(spark):
+    """Make adaptive execution keep many small ranges (offsets across ranges)."""
+    keys = ["spark.sql.adaptive.advisoryPartitionSizeInBytes",
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize",
+            "spark.sql.shuffle.partitions"]
+    old = {k: spark.conf.get(k, None) for k in keys}
+    spark.conf.set(keys[0], "1k")
+    spark.conf.set(keys[1], "1k")
+    spark.conf.set(keys[2], "32")
+    yield
+    for k, v in old.items():
+        if v is None:
+            spark.conf.unset(k)
+        else:
+            spark.conf.set(k, v)
+
+
+def test_positions_and_prefix_sums_across_many_ranges(spark, many_small_partitions,
+                                                     monkeypatch):
+    import strataform.operators.ordering as ordering
+
+    written = []
+    real = ordering.scratch_table
+    monkeypatch.setattr(ordering, "scratch_table",
+                        lambda d, label: written.append(real(d, label)) or written[-1])
+    rng = random.Random(17)
+    rows = [(rng.randrange(50), i, rng.randrange(5)) for i in range(5000)]
+    df = _frame(spark, rows, "k int, i int, w int").repartition(9)
+    pos = with_position(df, ["k", "i"], "pos")
+    ranges = written[0].select(F.shiftright("_sf_mid", 33)).distinct().count()
+    assert ranges > 1
+    got = pos.toPandas().sort_values("pos")
+    assert list(got["pos"]) == list(range(1, len(rows) + 1))
+    assert list(zip(got["k"], got["i"])) == sorted((k, i) for k, i, _ in rows)
+    run = prefix_sum(df, ["k", "i"], "w", "run").toPandas().sort_values(["k", "i"])
+    expected = pd.DataFrame(rows, columns=["k", "i", "w"]).sort_values(["k", "i"])["w"].cumsum()
+    assert run["run"].tolist() == expected.tolist()
