@@ -15,3 +15,15 @@ def spark():
     session = build_session(master="local[4]", shuffle_partitions=8, app_name="strataform-tests")
     yield session
     session.stop()
+
+
+@pytest.fixture(scope="session")
+def built_root(spark):
+    """One audited build at sf0.001, shared by the tests that read its layers."""
+    import tempfile
+
+    from strataform.plans.warehouse import run_build
+
+    root = tempfile.mkdtemp(prefix="strataform-test-build-")
+    audit = run_build(spark, SF_SMALL, root)
+    return root, {r["step"]: r for r in audit.collect()}

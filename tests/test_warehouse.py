@@ -4,7 +4,6 @@ every registered query against its DuckDB statement (sf0.001)."""
 import datetime as dt
 import decimal
 import os
-import tempfile
 
 import duckdb
 import pytest
@@ -13,14 +12,13 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from conftest import SF_SMALL
 from strataform.plans.quality import evaluate_checks
-from strataform.plans.warehouse import derive_warehouse, run_build
+from strataform.plans.warehouse import derive_warehouse
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 
 
-def test_run_build_writes_every_layer_and_passes_checks(spark):
-    out = tempfile.mkdtemp(prefix="strataform-test-build-")
-    audit = {r["step"]: r for r in run_build(spark, SF_SMALL, out).collect()}
+def test_run_build_writes_every_layer_and_passes_checks(spark, built_root):
+    out, audit = built_root
     assert list(audit) == ["source", "extract", "dimensions", "fact", "scd2", "marts", "checks",
                            "total"]
     assert all(r["status"] == "OK" for r in audit.values())
