@@ -144,7 +144,8 @@ def scd2_measures(dim_c: DataFrame, changes: DataFrame, stg_customers: DataFrame
 def measure_jobs(source: dict[str, DataFrame] | None, staging: dict[str, DataFrame],
                  star: dict[str, DataFrame], changes: DataFrame | None = None,
                  marts: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
-    """One small aggregate per group of measures (name prefix -> one-row frame)."""
+    """One small aggregate per group of measures (name prefix -> one-row frame,
+    or a function building it)."""
     fact, dim_c = star["fact_sales"], star["dim_customer"]
     marts = marts or {}
     monthly = marts.get("mart_monthly_revenue")
@@ -158,7 +159,8 @@ def measure_jobs(source: dict[str, DataFrame] | None, staging: dict[str, DataFra
         extra = None
         if table == "sales_order_items":
             extra = {"revenue": F.round(F.sum(F.col("quantity") * F.col("unit_price_paid")), 2)}
-        jobs[f"stg_{table}"] = table_profile(staging[f"stg_{table}"], keys, extra=extra)
+        jobs[f"stg_{table}"] = (lambda t=table, k=keys, e=extra:
+                                table_profile(staging[f"stg_{t}"], k, extra=e))
     # One profile per star table (rows, duplicate keys, NULLs) with its own rules.
     star_extra = {
         "fact_sales": {
@@ -175,7 +177,8 @@ def measure_jobs(source: dict[str, DataFrame] | None, staging: dict[str, DataFra
     }
     for table in schemas.STAR_KEYS:
         key, _ = schemas.STAR_KEYS[table]
-        jobs[table] = table_profile(star[table], [key], _required(table), star_extra.get(table))
+        jobs[table] = (lambda t=table, k=key:
+                       table_profile(star[t], [k], _required(t), star_extra.get(t)))
     jobs.update({
         "orphan_employee_store": orphan_rows(star["dim_employee"], star["dim_store"], "store_key"),
         "multi_current": dim_c.groupBy("customer_id").agg(F.sum("is_current").alias("c")).agg(
@@ -193,16 +196,21 @@ def measure_jobs(source: dict[str, DataFrame] | None, staging: dict[str, DataFra
         jobs["src_items"] = source["sales_order_items"].agg(count.alias("n"))
         jobs["src_customers"] = source["customers"].agg(count.alias("n"))
     for fk, dim in schemas.FACT_FOREIGN_KEYS.items():
-        jobs[f"orphan_{fk}"] = orphan_rows(fact, star[dim], fk)
+        jobs[f"orphan_{fk}"] = lambda fk=fk, dim=dim: orphan_rows(fact, star[dim], fk)
     if changes is not None:
-        jobs["scd2"] = scd2_measures(dim_c, changes, staging["stg_customers"])
+        jobs["scd2"] = lambda: scd2_measures(dim_c, changes, staging["stg_customers"])
     return jobs
 
 
 def collect_measures(jobs: dict[str, DataFrame], workers: int = 8) -> Metrics:
-    """Run the measure jobs side by side; ``prefix.column`` -> scalar."""
+    """Run the measure jobs side by side; ``prefix.column`` -> scalar.
+
+    A job may also be given as a function returning its DataFrame, so that
+    building (and analysing) it happens in the worker thread too.
+    """
     def one(name: str) -> tuple[str, dict]:
-        row = jobs[name].first()
+        job = jobs[name]
+        row = (job() if callable(job) else job).first()
         return name, ({} if row is None else row.asDict())
 
     with ThreadPoolExecutor(max_workers=workers) as pool:

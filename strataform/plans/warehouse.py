@@ -287,12 +287,16 @@ def run_build(spark: SparkSession, sf_dir: str, out_root: str,
         state["fact"] = written
         return "star", 1, rows["fact_sales"]
 
-    def step_scd2():
+    def step_changes():
         # The change batch is kept as a table: it is the audit trail of what
         # was applied, and later steps read it instead of re-deriving it.
         incoming = changes if changes is not None else customer_city_changes(state["source"])
-        logged, _ = write_layer(spark, {"customer_changes": lambda: incoming}, out_root, "audit")
+        logged, rows = write_layer(spark, {"customer_changes": lambda: incoming}, out_root,
+                                   "audit")
         batch.append(logged["customer_changes"])
+        return "audit", 1, rows["customer_changes"]
+
+    def step_scd2():
         # Never overwrite the folder being read: the new version gets its own.
         dim = state["initial"]["dim_customer"]
         builders = {"dim_customer_v2": lambda: scd2_apply(dim, batch[0])}
@@ -325,12 +329,13 @@ def run_build(spark: SparkSession, sf_dir: str, out_root: str,
         return "audit", len(rows), sum(rows.values())
 
     # Stages run in order; the steps of one stage are independent and run side
-    # by side (the fact load and the change batch both start from the
-    # initial dimensions).
+    # by side (the change batch needs only the source; the fact load and the
+    # SCD2 batch both start from the initial dimensions).
     stages = [
         [("source", "read the operational tables (derived from the driver tables)",
           step_source)],
-        [("extract", "EXTRACT source -> staging", step_extract)],
+        [("extract", "EXTRACT source -> staging", step_extract),
+         ("changes", "derive and log the customer change batch", step_changes)],
         [("dimensions", "LOAD calendar, store, employee, product, customer", step_dimensions)],
         [("fact", "LOAD fact_sales", step_fact),
          ("scd2", "incremental SCD2 batch on dim_customer", step_scd2)],
