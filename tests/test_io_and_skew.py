@@ -96,3 +96,30 @@ def test_as_of_with_one_customer_holding_most_orders(spark):
         day = D(2020, 6, 1) + dt.timedelta(days=i % 400)
         assert got[i] == (1 if day <= D(2020, 12, 31) else 2)
     assert all(got[1000 + i] == 3 for i in range(10))
+
+
+def test_bucketing_is_reattached_to_written_files(spark):
+    from pyspark.sql import functions as F
+
+    from strataform.sources.io import register_bucketed_table, write_bucketed_table
+
+    folder = tempfile.mkdtemp(prefix="strataform-bucket-")
+    rows = spark.range(0, 2000).select(F.col("id").alias("order_id"),
+                                       (F.col("id") % 7).alias("v"))
+    write_bucketed_table(rows, os.path.join(folder, "t"), "default.bk_written", "order_id", 8)
+    again = register_bucketed_table(spark, "default.bk_reattached", os.path.join(folder, "t"),
+                                    rows.schema, "order_id", 8)
+    assert again.count() == 2000
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        import io
+        from contextlib import redirect_stdout
+
+        joined = again.join(spark.table("default.bk_written"), "order_id")
+        buf = io.StringIO()
+        with redirect_stdout(buf):
+            joined.explain()
+        assert "Exchange" not in buf.getvalue()
+        assert joined.count() == 2000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32m")
