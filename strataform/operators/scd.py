@@ -88,7 +88,8 @@ def scd2_apply(dim: DataFrame, changes: DataFrame, *, natural_key: str = "custom
         F.date_sub(F.col(_NEXT_D), 1).alias("valid_to"),
         F.when(F.col(_NEXT_D).isNull(), 1).otherwise(0).alias("is_current"))
 
-    first = chg.groupBy(nk).agg(F.min(_D).alias(_FIRST_D))
+    # Read from the materialised numbering, not by re-deriving the batch.
+    first = numbered.groupBy(nk).agg(F.min(_D).alias(_FIRST_D))
     closing = (F.col("is_current") == 1) & F.col(_FIRST_D).isNotNull()
     kept = dim.join(first, nk, "left").select(*[
         F.when(closing, F.date_sub(F.col(_FIRST_D), 1)).otherwise(F.col("valid_to")).alias(c)
