@@ -326,6 +326,27 @@ STAGED_KEYS = {
     "sales_order_items": "order_item_id", "product_returns": "return_id",
 }
 
+STAGED_FOREIGN_KEYS = [
+    ("employees", "store_id", "stores"), ("products", "category_id", "categories"),
+    ("sales_orders", "customer_id", "customers"), ("sales_orders", "store_id", "stores"),
+    ("sales_orders", "employee_id", "employees"), ("sales_order_items", "order_id", "sales_orders"),
+    ("sales_order_items", "product_id", "products"),
+    ("product_returns", "order_item_id", "sales_order_items"),
+]
+
+# Columns declared NOT NULL in the operational tables.
+STAGED_REQUIRED = {
+    "stores": ["store_id", "store_name", "city", "region", "opening_date"],
+    "employees": ["employee_id", "full_name", "store_id", "hire_date", "role"],
+    "categories": ["category_id", "category_name"],
+    "products": ["product_id", "product_name", "category_id", "unit_cost", "unit_price"],
+    "customers": ["customer_id", "full_name", "signup_date", "loyalty_member"],
+    "sales_orders": ["order_id", "store_id", "employee_id", "order_date", "payment_method"],
+    "sales_order_items": ["order_item_id", "order_id", "product_id", "quantity",
+                          "unit_price_paid", "discount_pct"],
+    "product_returns": ["return_id", "order_item_id", "return_date"],
+}
+
 FACT_COLS = ("date_key, customer_key, product_key, store_key, employee_key, order_id, order_item_id, "
              "quantity, unit_price_paid, discount_pct, line_revenue, line_cost, line_margin, is_returned")
 
@@ -355,7 +376,7 @@ def _checks_sql() -> str:
         null_terms.append(f"(SELECT {nulls} FROM {table})")
 
     def orphan(col: str, dim: str) -> str:
-        return (f"(SELECT count(*) FROM fact_sales f WHERE NOT EXISTS "
+        return (f"(SELECT count(*) FROM fact_sales f WHERE f.{col} IS NOT NULL AND NOT EXISTS "
                 f"(SELECT 1 FROM {dim} d WHERE d.{col} = f.{col}))")
 
     marts = _marts("dim_customer_scd2")
@@ -421,11 +442,18 @@ def _checks_sql() -> str:
         ("Q19a", "star primary keys are unique", " + ".join(dup_terms)),
         ("Q19b", "declared NOT NULL star columns are filled", " + ".join(null_terms)),
         ("Q19c", "every employee's store_key resolves",
-         "(SELECT count(*) FROM dim_employee e WHERE NOT EXISTS "
+         "(SELECT count(*) FROM dim_employee e WHERE e.store_key IS NOT NULL AND NOT EXISTS "
          "(SELECT 1 FROM dim_store s WHERE s.store_key = e.store_key))"),
         ("Q19d", "staged primary keys are unique", " + ".join(
             f"(SELECT coalesce(sum(n - 1), 0) FROM (SELECT count(*) AS n FROM stg_{t} "
             f"GROUP BY {key} HAVING count(*) > 1) d)" for t, key in STAGED_KEYS.items())),
+        ("Q19e", "staged foreign keys resolve", " + ".join(
+            f"(SELECT count(*) FROM stg_{child} c WHERE c.{col} IS NOT NULL AND NOT EXISTS "
+            f"(SELECT 1 FROM stg_{parent} p WHERE p.{col} = c.{col}))"
+            for child, col, parent in STAGED_FOREIGN_KEYS)),
+        ("Q19f", "declared NOT NULL source columns are filled in staging", " + ".join(
+            f"(SELECT {' + '.join(f'count(*) FILTER (WHERE {c} IS NULL)' for c in cols)} "
+            f"FROM stg_{t})" for t, cols in STAGED_REQUIRED.items())),
     ]
     rows = "\nUNION ALL\n".join(
         f"SELECT '{cid}' AS check_id, '{desc.replace(chr(39), chr(39) * 2)}' AS description, "

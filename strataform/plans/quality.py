@@ -30,6 +30,8 @@ Q19a-c  star primary keys unique, declared NOT NULL columns filled, employee
         store key resolves
 Q19d    staged primary keys unique (also catches an order with 100 or more
         lines, whose derived order-item ids would collide)
+Q19e    staged foreign keys resolve (NULL keys allowed)
+Q19f    declared NOT NULL source columns are filled in staging
 """
 
 from __future__ import annotations
@@ -74,10 +76,11 @@ def side_by_side(frames: list[DataFrame]) -> DataFrame:
 def orphan_rows(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """Rows of ``child`` whose ``key`` has no match in ``parent``, counted.
 
-    The child is first reduced to (key, rows) map-side, so the anti-join moves
-    one row per distinct key instead of one per fact row.
+    NULL keys are not orphans (a nullable foreign key).  The child is first
+    reduced to (key, rows) map-side, so the anti-join moves one row per
+    distinct key instead of one per fact row.
     """
-    per_key = child.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    per_key = child.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     return per_key.join(parent.select(key), key, "left_anti").agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("n"))
 
@@ -159,8 +162,12 @@ def measure_jobs(source: dict[str, DataFrame] | None, staging: dict[str, DataFra
         extra = None
         if table == "sales_order_items":
             extra = {"revenue": F.round(F.sum(F.col("quantity") * F.col("unit_price_paid")), 2)}
-        jobs[f"stg_{table}"] = (lambda t=table, k=keys, e=extra:
-                                table_profile(staging[f"stg_{t}"], k, extra=e))
+        required = [f.name for f in schemas.SOURCE[table].fields if not f.nullable]
+        jobs[f"stg_{table}"] = (lambda t=table, k=keys, r=required, e=extra:
+                                table_profile(staging[f"stg_{t}"], k, r, extra=e))
+    for child, col, parent in schemas.SOURCE_FOREIGN_KEYS:
+        jobs[f"stgfk_{child}_{col}"] = (lambda c=child, k=col, p=parent: orphan_rows(
+            staging[f"stg_{c}"], staging[f"stg_{p}"], k))
     # One profile per star table (rows, duplicate keys, NULLs) with its own rules.
     star_extra = {
         "fact_sales": {
@@ -270,6 +277,11 @@ def _check_specs(with_changes: bool) -> list[tuple[str, str, Callable[[Metrics],
         ("Q19c", "every employee's store_key resolves", value("orphan_employee_store.n")),
         ("Q19d", "staged primary keys are unique",
          total("dup", schemas.SOURCE_KEYS, prefix="stg_")),
+        ("Q19e", "staged foreign keys resolve",
+         lambda m: sum(int(_num(m[f"stgfk_{c}_{k}.n"]))
+                       for c, k, _ in schemas.SOURCE_FOREIGN_KEYS)),
+        ("Q19f", "declared NOT NULL source columns are filled in staging",
+         total("nulls", schemas.SOURCE_KEYS, prefix="stg_")),
     ]
     if with_changes:
         specs[11:11] = [

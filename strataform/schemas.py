@@ -55,6 +55,19 @@ SOURCE_KEYS = {
     "sales_order_items": ["order_item_id"], "product_returns": ["return_id"],
 }
 
+# Foreign keys of the source tables: (child table, column, parent table);
+# the parent's key column has the same name.  NULL child keys are allowed.
+SOURCE_FOREIGN_KEYS = [
+    ("employees", "store_id", "stores"),
+    ("products", "category_id", "categories"),
+    ("sales_orders", "customer_id", "customers"),
+    ("sales_orders", "store_id", "stores"),
+    ("sales_orders", "employee_id", "employees"),
+    ("sales_order_items", "order_id", "sales_orders"),
+    ("sales_order_items", "product_id", "products"),
+    ("product_returns", "order_item_id", "sales_order_items"),
+]
+
 LINEAGE_FIELDS = [T.StructField("_source_table", STR, True), T.StructField("_loaded_at", TS, True)]
 
 STAGING = {

@@ -23,7 +23,7 @@ def test_run_build_writes_every_layer_and_passes_checks(spark, built_root):
                            "checks", "total"]
     assert all(r["status"] == "OK" for r in audit.values())
     checks = spark.read.parquet(os.path.join(out, "audit", "checks")).collect()
-    assert len(checks) == 24 and all(r["passed"] for r in checks)
+    assert len(checks) == 26 and all(r["passed"] for r in checks)
     counts = {r["table_name"]: r["row_count"]
               for r in spark.read.parquet(os.path.join(out, "audit", "row_counts")).collect()}
     assert counts["fact_sales"] == counts["stg_sales_order_items"] == 6000
