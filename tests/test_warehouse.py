@@ -81,3 +81,15 @@ def test_query_matches_sql(spark, duck, name):
     d_cols = [c[0] for c in res.description]
     assert sorted(df.columns) == sorted(d_cols)
     assert _bag(df.columns, rows) == _bag(d_cols, res.fetchall())
+
+
+def test_checks_detect_staged_orphans_and_missing_values(spark):
+    wh = derive_warehouse(spark, SF_SMALL)
+    staging = dict(wh.staging)
+    first_store = staging["stg_stores"].agg(F.min("store_id")).first()[0]
+    staging["stg_stores"] = staging["stg_stores"].where(F.col("store_id") != first_store)
+    staging["stg_products"] = staging["stg_products"].withColumn(
+        "unit_cost", F.when(F.col("product_id") == 1, F.lit(None)).otherwise(F.col("unit_cost")))
+    failed = {r[0] for r in evaluate_checks(wh.source, staging, wh.star_after, wh.changes)
+              if not r[3]}
+    assert {"Q19e", "Q19f"} <= failed
