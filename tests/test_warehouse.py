@@ -86,7 +86,7 @@ def test_query_matches_sql(spark, duck, name):
 def test_checks_detect_staged_orphans_and_missing_values(spark):
     wh = derive_warehouse(spark, SF_SMALL)
     staging = dict(wh.staging)
-    first_store = staging["stg_stores"].agg(F.min("store_id")).first()[0]
+    first_store = staging["stg_employees"].agg(F.min("store_id")).first()[0]
     staging["stg_stores"] = staging["stg_stores"].where(F.col("store_id") != first_store)
     staging["stg_products"] = staging["stg_products"].withColumn(
         "unit_cost", F.when(F.col("product_id") == 1, F.lit(None)).otherwise(F.col("unit_cost")))
