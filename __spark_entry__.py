@@ -6,18 +6,26 @@ derives the warehouse layers from them with Spark; see ``strataform``.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-import sql_oracle
-from strataform import schemas
-from strataform.operators.facts import fact_sales
-from strataform.operators.scd import scd1_upsert, version_history
-from strataform.plans import marts
-from strataform.plans.quality import run_checks, side_by_side
-from strataform.plans.warehouse import derive_warehouse, row_count_report
+# The package and the SQL statements live next to this file; make them
+# importable when this file is loaded by path from another directory.
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
+from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+import sql_oracle  # noqa: E402
+from strataform import schemas  # noqa: E402
+from strataform.operators.facts import fact_sales  # noqa: E402
+from strataform.operators.scd import scd1_upsert, version_history  # noqa: E402
+from strataform.plans import marts  # noqa: E402
+from strataform.plans.quality import run_checks, side_by_side  # noqa: E402
+from strataform.plans.warehouse import derive_warehouse, row_count_report  # noqa: E402
 
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
 
