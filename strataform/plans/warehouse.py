@@ -70,19 +70,22 @@ class Warehouse:
         return self._after
 
 
-def customer_city_changes(source: dict[str, DataFrame]) -> DataFrame:
+def customer_city_changes(tables: dict[str, DataFrame]) -> DataFrame:
     """Change batch derived from the data: a customer moves to the city of the
     store of their latest order, effective on that order's date, when that
     city differs from the one on file.
 
-    The latest order per customer is a map-side ``max_by``, so a customer
-    with many orders is reduced before the shuffle.
+    ``tables`` holds ``sales_orders``, ``stores`` and ``customers`` (source
+    tables or their staged copies, which hold the same rows; staged copies
+    are cheaper to read than re-deriving the source).  The latest order per
+    customer is a map-side ``max_by``, so a customer with many orders is
+    reduced before the shuffle.
     """
-    o = source["sales_orders"].where(F.col("customer_id").isNotNull())
+    o = tables["sales_orders"].where(F.col("customer_id").isNotNull())
     last = o.groupBy("customer_id").agg(F.max_by(
         F.struct("order_date", "store_id"), F.struct("order_date", "order_id")).alias("_last"))
-    stores = source["stores"].select("store_id", F.col("city").alias("store_city"))
-    cust = source["customers"].select("customer_id", F.col("city").alias("home_city"))
+    stores = tables["stores"].select("store_id", F.col("city").alias("store_city"))
+    cust = tables["customers"].select("customer_id", F.col("city").alias("home_city"))
     moves = (last.select("customer_id", F.col("_last.order_date").alias("change_date"),
                          F.col("_last.store_id").alias("store_id"))
              .join(stores, "store_id").join(cust, "customer_id")
@@ -123,6 +126,11 @@ def apply_customer_changes(star: dict[str, DataFrame], changes: DataFrame) -> di
     return after
 
 
+def _staged(staging: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Staged copies under their source names (same rows and columns)."""
+    return {name[len("stg_"):]: df for name, df in staging.items()}
+
+
 _CACHE: dict[tuple, Warehouse] = {}
 
 
@@ -143,7 +151,7 @@ def derive_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     # The fact feeds most queries: written once to the checkpoint folder
     # instead of being recomputed from the driver tables by each of them.
     star["fact_sales"] = scratch_table(star["fact_sales"], "fact_sales")
-    changes = customer_city_changes(source)
+    changes = customer_city_changes(_staged(staging))
     wh = Warehouse(source, staging, star, changes)
     _CACHE[cache_key] = wh
     return wh
@@ -290,7 +298,8 @@ def run_build(spark: SparkSession, sf_dir: str, out_root: str,
     def step_changes():
         # The change batch is kept as a table: it is the audit trail of what
         # was applied, and later steps read it instead of re-deriving it.
-        incoming = changes if changes is not None else customer_city_changes(state["source"])
+        incoming = (changes if changes is not None
+                    else customer_city_changes(_staged(state["staging"])))
         logged, rows = write_layer(spark, {"customer_changes": lambda: incoming}, out_root,
                                    "audit")
         batch.append(logged["customer_changes"])
@@ -329,14 +338,14 @@ def run_build(spark: SparkSession, sf_dir: str, out_root: str,
         return "audit", len(rows), sum(rows.values())
 
     # Stages run in order; the steps of one stage are independent and run side
-    # by side (the change batch needs only the source; the fact load and the
+    # by side (the change batch needs only staging; the fact load and the
     # SCD2 batch both start from the initial dimensions).
     stages = [
         [("source", "read the operational tables (derived from the driver tables)",
           step_source)],
-        [("extract", "EXTRACT source -> staging", step_extract),
+        [("extract", "EXTRACT source -> staging", step_extract)],
+        [("dimensions", "LOAD calendar, store, employee, product, customer", step_dimensions),
          ("changes", "derive and log the customer change batch", step_changes)],
-        [("dimensions", "LOAD calendar, store, employee, product, customer", step_dimensions)],
         [("fact", "LOAD fact_sales", step_fact),
          ("scd2", "incremental SCD2 batch on dim_customer", step_scd2)],
         [("marts", "build the analytical marts", step_marts)],
