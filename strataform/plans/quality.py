@@ -85,22 +85,36 @@ def orphan_rows(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
         F.coalesce(F.sum("_n"), F.lit(0)).alias("n"))
 
 
-def table_profile(df: DataFrame, keys: list[str], required: list[str] = (),
-                  extra: dict | None = None) -> DataFrame:
-    """One pass over a table: rows, duplicate rows of the key, NULL cells in
-    the required columns, plus any ``extra`` named aggregates.
-
-    Duplicates = rows - key groups, where NULL keys form one group (as
-    ``GROUP BY`` does); the distinct count is combined map-side.
+def combined_profiles(tables: dict[str, tuple[DataFrame, str, list[str], dict]]) -> DataFrame:
+    """Profiles of many tables in one job: one row per table with ``n`` rows,
+    ``dup`` duplicate rows of the key, ``nulls`` NULL cells in the required
+    columns and the named row-level ``extras`` summed.
+
+    ``tables`` maps a name to (frame, single key column, required columns,
+    {measure: row-level expression}).  The tables are stacked as
+    (name, key, NULL cells, measures) rows and grouped per (name, key), then
+    per name: the same shuffle as profiling each table alone, one plan.
     """
-    key = F.struct(*keys) if len(keys) > 1 else F.col(keys[0])
-    null_keys = F.count(F.lit(1)) - F.count(key)
-    groups = F.count_distinct(key) + F.when(null_keys > 0, 1).otherwise(0)
-    nulls = sum((F.sum(F.col(c).isNull().cast("int")) for c in required), F.lit(0))
-    return df.agg(F.count(F.lit(1)).alias("n"),
-                  (F.count(F.lit(1)) - groups).alias("dup"),
-                  F.coalesce(nulls, F.lit(0)).alias("nulls"),
-                  *[agg.alias(name) for name, agg in (extra or {}).items()])
+    measures = sorted({m for _, _, _, extra in tables.values() for m in extra})
+    parts = []
+    for name, (df, key, required, extra) in tables.items():
+        nulls = sum((F.col(c).isNull().cast("int") for c in required), F.lit(0))
+        parts.append(df.select(
+            F.lit(name).alias("_t"), F.col(key).cast("bigint").alias("_k"),
+            nulls.alias("_nulls"),
+            *[(extra[m] if m in extra else F.lit(None)).cast("decimal(38,2)").alias(m)
+              for m in measures]))
+    stacked = parts[0]
+    for part in parts[1:]:
+        stacked = stacked.unionByName(part)
+    per_key = stacked.groupBy("_t", "_k").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("_nulls").alias("_nulls"),
+        *[F.sum(m).alias(m) for m in measures])
+    return per_key.groupBy(F.col("_t").alias("t")).agg(
+        F.sum("_n").alias("n"),
+        F.sum(F.when(F.col("_n") > 1, F.col("_n") - 1).otherwise(0)).alias("dup"),
+        F.coalesce(F.sum("_nulls"), F.lit(0)).alias("nulls"),
+        *[F.sum(m).alias(m) for m in measures])
 
 
 def _required(table: str) -> list[str]:
@@ -157,35 +171,34 @@ def measure_jobs(source: dict[str, DataFrame] | None, staging: dict[str, DataFra
     products = mart_product_performance(star) if products is None else products
     count = F.count(F.lit(1))
     jobs = {}
-    # One profile per staged table (rows, duplicate keys), staged revenue too.
+    # Every staged and star table profiled in one job (rows, duplicate keys,
+    # NULL cells) with the row-level rules of the fact and the customers.
+    profiled = {}
     for table, keys in schemas.SOURCE_KEYS.items():
-        extra = None
+        extra = {}
         if table == "sales_order_items":
-            extra = {"revenue": F.round(F.sum(F.col("quantity") * F.col("unit_price_paid")), 2)}
+            extra = {"revenue": F.col("quantity") * F.col("unit_price_paid")}
         required = [f.name for f in schemas.SOURCE[table].fields if not f.nullable]
-        jobs[f"stg_{table}"] = (lambda t=table, k=keys, r=required, e=extra:
-                                table_profile(staging[f"stg_{t}"], k, r, extra=e))
-    for child, col, parent in schemas.SOURCE_FOREIGN_KEYS:
-        jobs[f"stgfk_{child}_{col}"] = (lambda c=child, k=col, p=parent: orphan_rows(
-            staging[f"stg_{c}"], staging[f"stg_{p}"], k))
-    # One profile per star table (rows, duplicate keys, NULLs) with its own rules.
+        profiled[f"stg_{table}"] = (staging[f"stg_{table}"], keys[0], required, extra)
     star_extra = {
         "fact_sales": {
-            "revenue": F.round(F.sum("line_revenue"), 2),
-            "revenue_kept": F.round(F.sum(F.when(F.col("is_returned") == 0,
-                                                 F.col("line_revenue"))), 2),
-            "margin_mismatch": F.sum((F.col("line_margin") != F.round(
-                F.col("line_revenue") - F.col("line_cost"), 2)).cast("int")),
+            "revenue": F.col("line_revenue"),
+            "revenue_kept": F.when(F.col("is_returned") == 0, F.col("line_revenue")),
+            "margin_mismatch": (F.col("line_margin") != F.round(
+                F.col("line_revenue") - F.col("line_cost"), 2)).cast("int"),
         },
         "dim_customer": {
-            "closed_without_end": F.sum(
-                ((F.col("is_current") == 0) & F.col("valid_to").isNull()).cast("int")),
+            "closed_without_end": ((F.col("is_current") == 0)
+                                   & F.col("valid_to").isNull()).cast("int"),
         },
     }
     for table in schemas.STAR_KEYS:
         key, _ = schemas.STAR_KEYS[table]
-        jobs[table] = (lambda t=table, k=key:
-                       table_profile(star[t], [k], _required(t), star_extra.get(t)))
+        profiled[table] = (star[table], key, _required(table), star_extra.get(table, {}))
+    jobs["profiles"] = lambda: combined_profiles(profiled)
+    for child, col, parent in schemas.SOURCE_FOREIGN_KEYS:
+        jobs[f"stgfk_{child}_{col}"] = (lambda c=child, k=col, p=parent: orphan_rows(
+            staging[f"stg_{c}"], staging[f"stg_{p}"], k))
     jobs.update({
         "orphan_employee_store": orphan_rows(star["dim_employee"], star["dim_store"], "store_key"),
         "multi_current": dim_c.groupBy("customer_id").agg(F.sum("is_current").alias("c")).agg(
@@ -215,13 +228,16 @@ def collect_measures(jobs: dict[str, DataFrame], workers: int = 8) -> Metrics:
     A job may also be given as a function returning its DataFrame, so that
     building (and analysing) it happens in the worker thread too.
     """
-    def one(name: str) -> tuple[str, dict]:
+    def one(name: str) -> list[tuple[str, dict]]:
         job = jobs[name]
-        row = (job() if callable(job) else job).first()
-        return name, ({} if row is None else row.asDict())
+        df = job() if callable(job) else job
+        if "t" in df.columns:  # one row per profiled table (bounded by the table count)
+            return [(r["t"], r.asDict()) for r in df.collect()]
+        row = df.first()
+        return [(name, {} if row is None else row.asDict())]
 
     with ThreadPoolExecutor(max_workers=workers) as pool:
-        results = list(pool.map(one, list(jobs)))
+        results = [item for items in pool.map(one, list(jobs)) for item in items]
     return {f"{name}.{col}": value for name, row in results for col, value in row.items()}
 
 
