@@ -1,12 +1,14 @@
 """Cross-layer data-quality checks as Spark jobs.
 
 ``run_checks`` returns one row per check: ``check_id, description,
-violations, passed``.  Every check is reduced to scalar measures; each group
-of measures is one small aggregate job over one table (a scan with partial
-aggregation, or an anti-join on pre-aggregated keys), and the jobs are
-submitted together from a thread pool so they run side by side.  Only the
-one-row results reach the driver, where the check table is assembled.
-(A single plan holding every measure is slower: planning it dominates.)
+violations, passed``.  Every check is reduced to scalar measures: one job
+profiles every staged and star table at once (rows, duplicate keys, NULL
+cells, row-level rules), the others are small aggregates (anti-joins on
+pre-aggregated keys, mart totals, SCD2 expectations).  The jobs are
+submitted together from a thread pool so they run side by side; only their
+small results (one row, or one row per profiled table) reach the driver,
+where the check table is assembled.  (A single plan holding every measure
+is slower: planning it dominates.)
 
 Checks (ids follow the order of the original test script, extended):
 
