@@ -27,6 +27,7 @@ and returns share one numbering of the lines (cached for the extract).
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal
 
 from pyspark import StorageLevel
@@ -53,8 +54,14 @@ LINES_PER_ORDER_LIMIT = 100
 
 
 def read_driver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Lazy scans of the driver tables (column pruning reaches the Parquet reader)."""
-    return {t: spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet") for t in DRIVER_TABLES}
+    """Lazy scans of the driver tables (column pruning reaches the Parquet
+    reader).  Their schemas are read from the files, one small job each,
+    issued side by side."""
+    def scan(table: str) -> DataFrame:
+        return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+
+    with ThreadPoolExecutor(max_workers=len(DRIVER_TABLES)) as pool:
+        return dict(zip(DRIVER_TABLES, pool.map(scan, DRIVER_TABLES)))
 
 
 def stores(t: dict[str, DataFrame]) -> DataFrame:
