@@ -5,7 +5,8 @@ Here such events arrive as files (Parquet, CSV, JSON) in a landing folder;
 a file stream picks up new files, and every micro-batch is applied to the
 customer dimension with ``scd2_apply`` (``foreachBatch``).
 
-The dimension is stored as one folder per version, ``<root>/version=<n>``:
+The dimension is stored as one folder per version, ``<root>/version=<n>``
+(split by ``is_current`` inside):
 micro-batch ``b`` reads version ``b`` and writes version ``b + 1`` with a
 dynamic partition overwrite, so a replayed batch (after a failure, the
 stream's checkpoint replays the last uncommitted batch) rewrites the same
@@ -34,10 +35,11 @@ VERSION = "version"
 
 
 def write_version(df: DataFrame, root: str, version: int) -> None:
-    """Write one dimension version (replaces only that version's folder)."""
+    """Write one dimension version (replaces only that version's folders);
+    inside a version, current and closed rows go to separate folders."""
     (df.withColumn(VERSION, F.lit(version))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(VERSION).parquet(root))
+     .partitionBy(VERSION, "is_current").parquet(root))
 
 
 def latest_version(spark: SparkSession, root: str) -> int:
@@ -48,7 +50,8 @@ def latest_version(spark: SparkSession, root: str) -> int:
 
 
 def read_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
-    """One version of the dimension (partition pruning reads only its folder)."""
+    """One version of the dimension (partition pruning reads only its folders;
+    a further ``is_current = 1`` filter reads only the current rows)."""
     version = latest_version(spark, root) if version is None else version
     return spark.read.parquet(root).where(F.col(VERSION) == version).drop(VERSION)
 
