@@ -93,3 +93,14 @@ def test_checks_detect_staged_orphans_and_missing_values(spark):
     failed = {r[0] for r in evaluate_checks(wh.source, staging, wh.star_after, wh.changes)
               if not r[3]}
     assert {"Q19e", "Q19f"} <= failed
+
+
+def test_command_line_prints_marts_of_a_build(spark, built_root, monkeypatch, capsys):
+    import strataform.__main__ as cli
+
+    root, _ = built_root
+    monkeypatch.setattr("sys.argv", ["strataform", "marts", "--out", root])
+    cli.main()
+    out = capsys.readouterr().out
+    assert "== mart_monthly_revenue" in out and "== mart_customer_geography" in out
+    assert "margin_pct" in out and "sales_rank" in out
