@@ -39,8 +39,13 @@ _D, _SEQ, _NEXT_D, _FIRST_D = "_sf_change_date", "_sf_change_seq", "_sf_next_dat
 def scd2_apply(dim: DataFrame, changes: DataFrame, *, natural_key: str = "customer_id",
                surrogate_key: str = "customer_key", tracked: Sequence[str] = ("city",),
                date_col: str = "change_date", sequence_col: str | None = None,
-               skip_unchanged: bool = False, late: str = "apply") -> DataFrame:
-    """Apply a batch of type-2 changes; returns the whole new dimension."""
+               skip_unchanged: bool = False, late: str = "apply",
+               max_key: int | None = None) -> DataFrame:
+    """Apply a batch of type-2 changes; returns the whole new dimension.
+
+    ``max_key`` is the largest surrogate key of ``dim`` when already known
+    (observed when the dimension was written); otherwise it is computed.
+    """
     if late not in ("apply", "reject"):
         raise ValueError("late must be 'apply' or 'reject'")
     nk, sk, tracked = natural_key, surrogate_key, list(tracked)
@@ -79,7 +84,8 @@ def scd2_apply(dim: DataFrame, changes: DataFrame, *, natural_key: str = "custom
     # One numbering of the applied changes in (key, date, sequence) order
     # serves twice: as the surrogate keys of the new versions (continuing
     # after the largest existing key) and to find each change's successor.
-    numbered = with_position(chg, [nk, _D, _SEQ], sk, start=next_key_start(dim, sk))
+    start = next_key_start(dim, sk) if max_key is None else max_key + 1
+    numbered = with_position(chg, [nk, _D, _SEQ], sk, start=start)
     chained = neighbor_values(numbered, sk, [nk], {_D: _NEXT_D}, 1)
     attrs = latest.select(nk, *carried)
     new_keyed = chained.join(attrs, nk).select(

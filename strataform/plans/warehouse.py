@@ -196,7 +196,8 @@ def build_database(spark: SparkSession, root: str) -> str:
 
 
 def write_layer(spark: SparkSession, builders: dict[str, Builder], root: str, layer: str,
-                parallel: bool = True, bucketed: dict[str, str] | None = None
+                parallel: bool = True, bucketed: dict[str, str] | None = None,
+                max_keys: dict[str, int] | None = None
                 ) -> tuple[dict[str, DataFrame], dict[str, int]]:
     """Build and write each table of a layer; return the written tables (read
     back by their declared schema) and their row counts.
@@ -204,7 +205,9 @@ def write_layer(spark: SparkSession, builders: dict[str, Builder], root: str, la
     Tables of one layer are independent, so they are built and written from
     a small thread pool: their Spark jobs run side by side and fill the
     cluster instead of queueing one after another.  Row counts come from an
-    ``Observation`` on the write itself, not from a second job.
+    ``Observation`` on the write itself, not from a second job; for star
+    tables the largest surrogate key is observed too and stored in
+    ``max_keys`` when given.
     """
     bucketed = bucketed or {}
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -213,7 +216,13 @@ def write_layer(spark: SparkSession, builders: dict[str, Builder], root: str, la
     def one(name: str) -> tuple[str, DataFrame, int]:
         obs = Observation(f"{layer}.{name}")
         path = table_path(root, layer, name)
-        df = builders[name]().observe(obs, F.count(F.lit(1)).alias("rows"))
+        df = builders[name]()
+        declared_as = DECLARED_AS.get(name, name)
+        key = schemas.STAR_KEYS[declared_as][0] if declared_as in schemas.STAR_KEYS else None
+        metrics = [F.count(F.lit(1)).alias("rows")]
+        if key is not None and key in df.columns:
+            metrics.append(F.max(key).alias("max_key"))
+        df = df.observe(obs, *metrics)
         if name in bucketed:
             table = f"{database}.{name}"
             write_bucketed_table(df, path, table, bucketed[name], buckets)
@@ -225,7 +234,10 @@ def write_layer(spark: SparkSession, builders: dict[str, Builder], root: str, la
             declared = schemas.ALL.get(DECLARED_AS.get(name, name))
             if declared is not None:
                 written = conform(written, declared)
-        return name, written, int(obs.get["rows"])
+        observed = obs.get
+        if max_keys is not None and observed.get("max_key") is not None:
+            max_keys[name] = int(observed["max_key"])
+        return name, written, int(observed["rows"])
 
     names = list(builders)
     if parallel and len(names) > 1:
@@ -249,6 +261,7 @@ def run_build(spark: SparkSession, sf_dir: str, out_root: str,
     batch: list[DataFrame] = []
     known: dict[str, object] = {}
     persisted: list[DataFrame] = []
+    max_keys: dict[str, int] = {}
 
     def step_source():
         state["source"] = driver_tables.source_tables(spark, sf_dir, persisted)
@@ -281,7 +294,8 @@ def run_build(spark: SparkSession, sf_dir: str, out_root: str,
             "dim_product": lambda: dims.dim_product(stg["stg_products"], stg["stg_categories"]),
             "dim_customer": lambda: dims.dim_customer_initial(stg["stg_customers"]),
         }
-        state["initial"], rows = write_layer(spark, builders, out_root, "star")
+        state["initial"], rows = write_layer(spark, builders, out_root, "star",
+                                             max_keys=max_keys)
         return "star", len(rows), sum(rows.values())
 
     def step_fact():
@@ -308,7 +322,8 @@ def run_build(spark: SparkSession, sf_dir: str, out_root: str,
     def step_scd2():
         # Never overwrite the folder being read: the new version gets its own.
         dim = state["initial"]["dim_customer"]
-        builders = {"dim_customer_v2": lambda: scd2_apply(dim, batch[0])}
+        builders = {"dim_customer_v2": lambda: scd2_apply(
+            dim, batch[0], max_key=max_keys.get("dim_customer"))}
         written, rows = write_layer(spark, builders, out_root, "star")
         state["changed"] = {"dim_customer": written["dim_customer_v2"]}
         return "star", 1, rows["dim_customer_v2"]
