@@ -18,6 +18,7 @@ Two ways to run it:
 from __future__ import annotations
 
 import hashlib
+import threading
 import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -58,15 +59,17 @@ class Warehouse:
     star: dict[str, DataFrame]            # after the initial load
     changes: DataFrame                    # the SCD2 change batch
     _after: dict[str, DataFrame] = field(default_factory=dict)
+    _lock: threading.Lock = field(default_factory=threading.Lock, repr=False)
 
     @property
     def star_after(self) -> dict[str, DataFrame]:
         """The star schema after the change batch (built on first use; the
         new dimension version is written once to the checkpoint folder)."""
-        if not self._after:
-            after = apply_customer_changes(self.star, self.changes)
-            after["dim_customer"] = scratch_table(after["dim_customer"], "dim_customer_v2")
-            self._after.update(after)
+        with self._lock:
+            if not self._after:
+                after = apply_customer_changes(self.star, self.changes)
+                after["dim_customer"] = scratch_table(after["dim_customer"], "dim_customer_v2")
+                self._after.update(after)
         return self._after
 
 
@@ -132,6 +135,7 @@ def _staged(staging: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 _CACHE: dict[tuple, Warehouse] = {}
+_CACHE_LOCK = threading.Lock()
 
 
 def derive_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
@@ -142,8 +146,13 @@ def derive_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     folder, as is the customer dimension after the change batch.
     """
     cache_key = (id(spark), spark.conf.get("spark.app.id", ""), sf_dir.rstrip("/"))
-    if cache_key in _CACHE:
+    with _CACHE_LOCK:
+        if cache_key not in _CACHE:
+            _CACHE[cache_key] = _derive(spark, sf_dir)
         return _CACHE[cache_key]
+
+
+def _derive(spark: SparkSession, sf_dir: str) -> Warehouse:
     apply_required_conf(spark)
     source = driver_tables.source_tables(spark, sf_dir)
     staging = extract_all(source)
@@ -152,9 +161,7 @@ def derive_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     # instead of being recomputed from the driver tables by each of them.
     star["fact_sales"] = scratch_table(star["fact_sales"], "fact_sales")
     changes = customer_city_changes(_staged(staging))
-    wh = Warehouse(source, staging, star, changes)
-    _CACHE[cache_key] = wh
-    return wh
+    return Warehouse(source, staging, star, changes)
 
 
 def row_count_report(staging: dict[str, DataFrame], star: dict[str, DataFrame]) -> DataFrame:
