@@ -39,8 +39,6 @@ from ..sources.io import conform, table_path, write_bucketed_table, write_table
 from .marts import MARTS
 from .quality import CHECK_SCHEMA, evaluate_checks
 
-STAR_DIMS = ("dim_date", "dim_store", "dim_employee", "dim_product", "dim_customer")
-
 AUDIT_SCHEMA = T.StructType([
     T.StructField("step", T.StringType(), False),
     T.StructField("description", T.StringType(), False),
