@@ -123,3 +123,38 @@ def test_bucketing_is_reattached_to_written_files(spark):
         assert joined.count() == 2000
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32m")
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+histories = st.lists(
+    st.tuples(st.integers(1, 4), st.lists(st.integers(0, 300), min_size=1, max_size=4,
+                                          unique=True)),
+    min_size=1, max_size=4, unique_by=lambda t: t[0])
+order_lists = st.lists(st.tuples(st.integers(1, 5), st.integers(-30, 330)), min_size=1,
+                       max_size=25)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(history=histories, order_rows=order_lists)
+def test_as_of_matches_a_brute_force_range_join(spark, history, order_rows):
+    base = D(2020, 1, 1)
+    versions, key = [], 0
+    for cid, offsets in history:
+        starts = sorted(base + dt.timedelta(days=o) for o in offsets)
+        for i, start in enumerate(starts):
+            key += 1
+            end = starts[i + 1] - dt.timedelta(days=1) if i + 1 < len(starts) else None
+            versions.append((key, cid, "n", "c", 0, base, start, end, 1 if end is None else 0))
+    orders = [(i, cid, base + dt.timedelta(days=o)) for i, (cid, o) in enumerate(order_rows)]
+    expected = {}
+    for oid, cid, day in orders:
+        hits = [v[0] for v in versions if v[1] == cid and v[6] <= day
+                and (v[7] is None or day <= v[7])]
+        if hits:
+            expected[oid] = hits[0]
+    got = {r["order_id"]: r["customer_key"] for r in resolve_customer_as_of(
+        spark.createDataFrame(orders, "order_id long, customer_id long, order_date date"),
+        spark.createDataFrame(versions, schemas.STAR["dim_customer"])).collect()}
+    assert got == expected
