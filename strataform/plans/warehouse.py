@@ -291,11 +291,20 @@ def run_build(spark: SparkSession, sf_dir: str, out_root: str,
 
     def step_dimensions():
         stg = state["staging"]
-        store = dims.dim_store(stg["stg_stores"])
+        keyed_store: dict[str, DataFrame] = {}
+        store_lock = threading.Lock()
+
+        def store() -> DataFrame:
+            # Built once, by whichever of the store and employee writers asks first.
+            with store_lock:
+                if "df" not in keyed_store:
+                    keyed_store["df"] = dims.dim_store(stg["stg_stores"])
+            return keyed_store["df"]
+
         builders = {
             "dim_date": lambda: dims.dim_date_for_orders(spark, stg["stg_sales_orders"]),
-            "dim_store": lambda: store,
-            "dim_employee": lambda: dims.dim_employee(stg["stg_employees"], store),
+            "dim_store": store,
+            "dim_employee": lambda: dims.dim_employee(stg["stg_employees"], store()),
             "dim_product": lambda: dims.dim_product(stg["stg_products"], stg["stg_categories"]),
             "dim_customer": lambda: dims.dim_customer_initial(stg["stg_customers"]),
         }
