@@ -134,3 +134,9 @@ def version_history(dim: DataFrame, *, natural_key: str = "customer_id",
     cols = [c for c in cols if c in dim.columns]
     return row_number_within(dim.select(*cols), [natural_key], ["valid_from", surrogate_key],
                              "version_no")
+
+
+def history_of(dim: DataFrame, key_value, *, natural_key: str = "customer_id") -> DataFrame:
+    """Versions of one key, oldest first (``WHERE id = ? ORDER BY valid_from``);
+    the filter reaches the Parquet scan."""
+    return dim.where(F.col(natural_key) == F.lit(key_value)).orderBy("valid_from")

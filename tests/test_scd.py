@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from strataform import schemas
-from strataform.operators.scd import scd1_upsert, scd2_apply, version_history
+from strataform.operators.scd import history_of, scd1_upsert, scd2_apply, version_history
 
 D = dt.date
 
@@ -181,3 +181,8 @@ def test_skip_unchanged_compares_with_the_value_before_each_change(spark):
         ("Nice", D(2024, 2, 1), D(2024, 3, 31), 0),
         ("Lyon", D(2024, 4, 1), None, 1),
     ]
+
+
+def test_history_of_one_customer_oldest_first(spark):
+    out = scd2_apply(_initial(spark), _changes(spark, [(1, D(2024, 7, 1), "Paris")]))
+    assert [r["city"] for r in history_of(out, 1).collect()] == ["Nantes", "Paris"]
