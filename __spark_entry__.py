@@ -27,6 +27,18 @@ from strataform.plans import marts  # noqa: E402
 from strataform.plans.quality import run_checks, side_by_side  # noqa: E402
 from strataform.plans.warehouse import derive_warehouse, row_count_report  # noqa: E402
 
+# The training-data operators and the pipeline are optional: without their
+# folders every other query still works.
+try:
+    import corpus_pipeline
+    import strataform.llm.oracle as llm_oracle
+    import strataform.llm.queries as llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "strataform.llm", "strataform.llm.oracle",
+                            "strataform.llm.queries"):
+        raise
+    corpus_pipeline = llm_oracle = llm_queries = None
+
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
 
 
@@ -182,9 +194,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["dq_revenue_reconciliation"] = q_dq_revenue_reconciliation
     q["dq_multiple_current"] = q_dq_multiple_current
     q["scd1_upsert_store"] = q_scd1_upsert_store
+    if llm_queries is not None:
+        q.update(llm_queries.queries())
+        q["pipeline"] = corpus_pipeline.run
     return q
 
 
 def oracle_sql() -> dict[str, str]:
     statements = sql_oracle.oracle_statements()
+    if llm_oracle is not None:
+        statements = {**statements, **llm_oracle.oracle_sql()}
+        if corpus_pipeline.ORACLE_SQL is not None:
+            statements["pipeline"] = corpus_pipeline.ORACLE_SQL
     return {name: statements[name] for name in queries() if name in statements}
