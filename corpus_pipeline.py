@@ -1,3 +1,12 @@
 """A corpus pipeline over ``documents``: the stages, each written and read again."""
 
 ORACLE_SQL = None
+
+STAGES = []
+
+
+def run(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in STAGES:
+        docs = stage(spark, docs, sf_dir)
+    return docs
