@@ -1,5 +1,32 @@
 """DuckDB statements for the queries of this subpackage that SQL can express."""
 
+MINHASH_DEDUP = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN []
+    WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3),
+                                      lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+  FROM w),
+u AS (SELECT doc_id, unnest(s) AS g FROM s),
+n AS (SELECT doc_id, len(s) AS n FROM s),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+  FROM u a JOIN u b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * common >= 75 * (x.n + y.n - common)),
+m AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (
+  SELECT doc_id, doc_id AS c FROM n
+  UNION SELECT m.b, r.c FROM r JOIN m ON m.a = r.doc_id)
+SELECT n.doc_id, n.n::BIGINT AS n_shingles, min(r.c) AS component_id, n.doc_id = min(r.c) AS kept
+FROM n JOIN r USING (doc_id) GROUP BY n.doc_id, n.n
+"""
+
 EXACT_DEDUP = r"""
 WITH n AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm
@@ -49,5 +76,9 @@ SELECT * FROM r WHERE rank <= 5
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": EXACT_DEDUP, "op6_chat_trees": CHAT_TREES,
-            "op10_topk_search": TOPK_SEARCH}
+    return {
+        "op3_minhash_dedup": MINHASH_DEDUP,
+        "op4_exact_dedup": EXACT_DEDUP,
+        "op6_chat_trees": CHAT_TREES,
+        "op10_topk_search": TOPK_SEARCH,
+    }

@@ -9,13 +9,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat_trees, exact_dedup, kdtree_search, packing
+from . import byte_bpe, chat_trees, exact_dedup, kdtree_search, minhash_dedup, packing
 from .common import read_table, ship_package
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 WORDS = "word_bpe_49k.json"
 
 
+def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id", "kept")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read_table(spark, sf_dir, "documents"))
 
@@ -70,4 +75,5 @@ def _ready(query: Callable[[SparkSession, str], DataFrame]):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: _ready(f) for f in (
-        op4_exact_dedup, op5_byte_bpe, op6_chat_trees, op9_packing, op10_topk_search)}
+        op3_minhash_dedup, op4_exact_dedup, op5_byte_bpe, op6_chat_trees,
+        op9_packing, op10_topk_search)}
