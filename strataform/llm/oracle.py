@@ -1,5 +1,7 @@
 """DuckDB statements for the queries of this subpackage that SQL can express."""
 
+from .license_scan import PHRASES, TEMPLATES, THRESHOLD
+
 MINHASH_DEDUP = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(
@@ -57,6 +59,44 @@ SELECT conv_id, n_turns, turns_sha256, length(loss) AS loss_chars, sha256(loss)
 FROM l
 """
 
+_PHRASE_ROWS = ", ".join(f"('{p}', '{label}')" for p, label in PHRASES.items())
+_TEMPLATE_ROWS = ", ".join(f"('{label}', '{t}')" for label, t in TEMPLATES.items())
+
+LICENSE_SCAN = rf"""
+WITH t AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                           'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM t),
+p(phrase, label) AS (VALUES {_PHRASE_ROWS}),
+k AS (SELECT string_split(phrase, ' ') AS k, label FROM p),
+places AS (
+  SELECT doc_id, label, i - 1 AS place
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM w) JOIN k
+    ON w[i] = k[1] AND w[i:i + len(k) - 1] = k),
+base AS (
+  SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
+         list_sort(list(DISTINCT label)) AS labels FROM places GROUP BY doc_id),
+m(label, template) AS (VALUES {_TEMPLATE_ROWS}),
+s AS (SELECT label, list_distinct(string_split(template, ' ')) AS s FROM m),
+b AS (
+  SELECT doc_id, list_distinct(regexp_extract_all(
+           block, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS b
+  FROM (SELECT doc_id, unnest(string_split_regex(t, '\n|[.!?;] ')) AS block FROM t)),
+c AS (
+  SELECT doc_id, label, max(len(list_intersect(s, b)) / len(s)) AS c
+  FROM b, s GROUP BY ALL),
+found AS (
+  SELECT doc_id, list(label) AS labels, max(c) AS c FROM c
+  WHERE c >= {THRESHOLD} - 1e-9 GROUP BY doc_id)
+SELECT w.doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       array_to_string(coalesce(base.labels, []), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(
+         coalesce(base.labels, []), coalesce(found.labels, [])))), ',') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(c, 0) END::DOUBLE AS score
+FROM w LEFT JOIN base USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
 TOPK_SEARCH = r"""
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)::BIGINT) AS v
@@ -80,5 +120,6 @@ def oracle_sql() -> dict[str, str]:
         "op3_minhash_dedup": MINHASH_DEDUP,
         "op4_exact_dedup": EXACT_DEDUP,
         "op6_chat_trees": CHAT_TREES,
+        "op7_license_scan": LICENSE_SCAN,
         "op10_topk_search": TOPK_SEARCH,
     }

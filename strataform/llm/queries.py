@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat_trees, exact_dedup, kdtree_search, minhash_dedup, packing
+from . import byte_bpe, chat_trees, exact_dedup, kdtree_search, license_scan, minhash_dedup, packing
 from .common import read_table, ship_package
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -56,6 +56,10 @@ def op6_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("bigint").alias("formatted_chars"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(read_table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path(WORDS))
 
@@ -76,4 +80,4 @@ def _ready(query: Callable[[SparkSession, str], DataFrame]):
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: _ready(f) for f in (
         op3_minhash_dedup, op4_exact_dedup, op5_byte_bpe, op6_chat_trees,
-        op9_packing, op10_topk_search)}
+        op7_license_scan, op9_packing, op10_topk_search)}
