@@ -9,13 +9,29 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat_trees, exact_dedup, kdtree_search, license_scan, minhash_dedup, packing
-from .common import read_table, ship_package
+from . import byte_bpe, chat_trees, exact_dedup, kdtree_search, language_id, license_scan, minhash_dedup, \
+    packing, toxicity
+from .common import held_out, read_table, ship_package
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 WORDS = "word_bpe_49k.json"
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return language_id.identified(docs, ~held_out("doc_id", 0)).select(
+        "doc_id", held_out("doc_id", 0).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    chain = toxicity.toxicity_chain(docs, read_table(spark, sf_dir, "labels"),
+                                    learn=~held_out("id", 0))
+    return toxicity.score(docs.select("doc_id", "text"), chain).select(
+        "doc_id", held_out("doc_id", 0).alias("held_out"), "p_insult", "p_contempt",
+        F.col("p_toxic").alias("score"), (F.col("p_toxic") >= toxicity.TOXIC_FROM).alias("toxic"))
+
+
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_shingles", "component_id", "kept")
@@ -79,5 +95,5 @@ def _ready(query: Callable[[SparkSession, str], DataFrame]):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: _ready(f) for f in (
-        op3_minhash_dedup, op4_exact_dedup, op5_byte_bpe, op6_chat_trees,
+        op1_language_id, op2_toxicity, op3_minhash_dedup, op4_exact_dedup, op5_byte_bpe, op6_chat_trees,
         op7_license_scan, op9_packing, op10_topk_search)}
