@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat_trees, exact_dedup, kdtree_search, language_id, license_scan, minhash_dedup, \
+from . import attention_lm, byte_bpe, chat_trees, exact_dedup, kdtree_search, language_id, license_scan, minhash_dedup, \
     packing, toxicity
 from .common import held_out, read_table, ship_package
 
@@ -76,6 +76,11 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(read_table(spark, sf_dir, "documents"))
 
 
+def op8_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention_lm.scored(read_table(spark, sf_dir, "documents"), held_out("doc_id", 1),
+                               public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path(WORDS))
 
@@ -96,4 +101,4 @@ def _ready(query: Callable[[SparkSession, str], DataFrame]):
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: _ready(f) for f in (
         op1_language_id, op2_toxicity, op3_minhash_dedup, op4_exact_dedup, op5_byte_bpe, op6_chat_trees,
-        op7_license_scan, op9_packing, op10_topk_search)}
+        op7_license_scan, op8_attention_lm, op9_packing, op10_topk_search)}

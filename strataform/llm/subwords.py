@@ -15,6 +15,7 @@ import json
 import os
 import re
 import unicodedata
+from itertools import chain
 
 import numpy as np
 import tiktoken
@@ -51,6 +52,17 @@ class _PartCache:
     def encode_missing(self, parts: list[str]) -> None:
         raise NotImplementedError
 
+    def encode_parts(self, parts: list[str]) -> list[bytes]:
+        """Ids of each of the distinct ``parts`` as little-endian ``dtype`` bytes."""
+        if self.held > self.cache_chars:
+            self.cache.clear()
+            self.held = 0
+        missing = [p for p in parts if p not in self.cache]
+        if missing:
+            self.encode_missing(missing)
+            self.held += sum(map(len, missing))
+        return [self.cache[p] for p in parts]
+
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian ``dtype`` bytes."""
         out = []
@@ -58,15 +70,8 @@ class _PartCache:
         size = 0
 
         def flush() -> None:
-            if self.held > self.cache_chars:
-                self.cache.clear()
-                self.held = 0
-            cache = self.cache
-            missing = {p for parts in step for p in parts if p not in cache}
-            if missing:
-                self.encode_missing(list(missing))
-                self.held += sum(map(len, missing))
-            get = cache.__getitem__
+            self.encode_parts(list(set(chain.from_iterable(step))))
+            get = self.cache.__getitem__
             out.extend(b"".join(map(get, parts)) for parts in step)
             step.clear()
 
