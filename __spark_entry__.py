@@ -22,9 +22,9 @@ from pyspark.sql import functions as F  # noqa: E402
 import sql_oracle  # noqa: E402
 from strataform import schemas  # noqa: E402
 from strataform.operators.facts import fact_sales  # noqa: E402
-from strataform.operators.scd import scd1_upsert, version_history  # noqa: E402
+from strataform.operators.scd import scd1_upsert, scd2_apply, version_history  # noqa: E402
 from strataform.plans import marts  # noqa: E402
-from strataform.plans.quality import run_checks, side_by_side  # noqa: E402
+from strataform.plans.quality import fact_orphans, run_checks, side_by_side  # noqa: E402
 from strataform.plans.warehouse import derive_warehouse, row_count_report  # noqa: E402
 
 # The training-data operators and the pipeline are optional: without their
@@ -116,17 +116,7 @@ def q_dq_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_dq_orphan_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = _wh(spark, sf_dir).star_after
-    fact = star["fact_sales"]
-    parts = []
-    for fk, dim in schemas.FACT_FOREIGN_KEYS.items():
-        orphans = fact.select(fk).join(star[dim].select(fk), fk, "left_anti")
-        parts.append(orphans.agg(F.count(F.lit(1)).alias("unresolved"))
-                     .select(F.lit(fk).alias("foreign_key"), "unresolved"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return fact_orphans(_wh(spark, sf_dir).star_after)
 
 
 def q_dq_revenue_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,15 +141,41 @@ def q_dq_multiple_current(spark: SparkSession, sf_dir: str) -> DataFrame:
             .where(F.col("current_versions") > 1))
 
 
+def q_dim_customer_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The initial customers after a batch with several changes a customer: in
+    every year with orders, the customer moves to the city of the store of the
+    year's last order, on its date."""
+    wh = _wh(spark, sf_dir)
+    orders = wh.staging["stg_sales_orders"].where("customer_id is not null")
+    last = orders.groupBy("customer_id", F.year("order_date").alias("y")).agg(
+        F.max_by(F.struct("order_date", "store_id"), F.struct("order_date", "order_id")).alias("o"))
+    moves = last.select("customer_id", F.col("o.order_date").alias("change_date"),
+                        F.col("o.store_id").alias("store_id")).join(
+        wh.staging["stg_stores"].select("store_id", "city"), "store_id")
+    return scd2_apply(wh.star["dim_customer"], moves.select("customer_id", "change_date", "city"))
+
+
+def _ordered(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    """The published mart read in its documented order, with the place in it."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return marts.ordered_mart(_wh(spark, sf_dir).star, name)
+    return run
+
+
 def q_scd1_upsert_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SCD1 batch derived from the data: each store's opening date becomes the
-    date of its first sale."""
+    date of its first sale, and every region gets an online store."""
     wh = _wh(spark, sf_dir)
-    first_sale = wh.staging["stg_sales_orders"].groupBy("store_id").agg(
-        F.min("order_date").alias("opening_date"))
-    updates = wh.staging["stg_stores"].drop("opening_date").join(first_sale, "store_id").select(
+    stores, orders = wh.staging["stg_stores"], wh.staging["stg_sales_orders"]
+    first_sale = orders.groupBy("store_id").agg(F.min("order_date").alias("opening_date"))
+    updates = stores.drop("opening_date").join(first_sale, "store_id").select(
         "store_id", "store_name", "city", "region", "opening_date")
-    return scd1_upsert(wh.star["dim_store"], updates, natural_key="store_id",
+    online = stores.join(first_sale.withColumnRenamed("opening_date", "first"), "store_id").groupBy(
+        "region").agg(F.max("store_id").alias("largest"), F.min("first").alias("opening_date")).select(
+        (F.col("largest") + 1000).alias("store_id"),
+        F.concat(F.lit("Online "), "region").alias("store_name"), F.lit("Online").alias("city"),
+        "region", "opening_date")
+    return scd1_upsert(wh.star["dim_store"], updates.unionByName(online), natural_key="store_id",
                        surrogate_key="store_key")
 
 
@@ -187,6 +203,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         q[name] = _mart(name)
     q["mart_customer_geography_after_scd2"] = _mart("mart_customer_geography", after=True)
     q["mart_customer_cohorts_after_scd2"] = _mart("mart_customer_cohorts", after=True)
+    for name in marts.MART_ORDER:
+        q[f"{name}_ordered"] = _ordered(name)
+    q["dim_customer_replay"] = q_dim_customer_replay
     q["top_product"] = q_top_product
     q["row_count_report"] = q_row_count_report
     q["dq_checks"] = q_dq_checks

@@ -17,7 +17,7 @@ engines comparable:
 from __future__ import annotations
 
 # Fixed values shared with the source derivation (strataform.sources.driver_tables).
-ROLES_SQL = "['Vendeur', 'Vendeur Senior', 'Manager Magasin', 'Responsable Rayon']"
+ROLES_SQL = "['Sales Assistant', 'Senior Assistant', 'Floor Lead', 'Branch Manager']"
 
 SOURCE_CTES = f"""
 src_stores AS (
@@ -50,10 +50,8 @@ src_customers AS (
 ),
 src_lines AS (
     SELECT li.*,
-           li.l_orderkey * 100 + row_number() OVER (
-               PARTITION BY li.l_orderkey
-               ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
-                        l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS order_item_id
+           row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_quantity, l_discount,
+                                       l_returnflag, l_shipdate) AS order_item_id
     FROM lineitem li
 ),
 src_sales_order_items AS (
@@ -70,12 +68,13 @@ src_product_returns AS (
 ),
 src_sales_orders AS (
     SELECT CAST(o.o_orderkey AS BIGINT) AS order_id, CAST(o.o_custkey AS BIGINT) AS customer_id,
-           CAST(s.s_nationkey AS BIGINT) AS store_id, CAST(seller.employee_id AS BIGINT) AS employee_id,
+           CAST(s.s_nationkey AS BIGINT) AS store_id, CAST(s.s_suppkey AS BIGINT) AS employee_id,
            CAST(o.o_orderdate AS DATE) AS order_date, o.o_orderpriority AS payment_method
     FROM orders o
-    JOIN (SELECT l_orderkey, min(l_suppkey) AS employee_id FROM lineitem GROUP BY l_orderkey) seller
+    LEFT JOIN (SELECT l_orderkey, min(l_suppkey) AS employee_id FROM lineitem GROUP BY l_orderkey) seller
       ON seller.l_orderkey = o.o_orderkey
-    JOIN supplier s ON s.s_suppkey = seller.employee_id
+    JOIN supplier s
+      ON s.s_suppkey = coalesce(seller.employee_id, (SELECT min(s_suppkey) FROM supplier))
 )"""
 
 SOURCE_NAMES = ["stores", "employees", "categories", "products", "customers", "sales_orders",
@@ -305,8 +304,10 @@ GROUP BY c.city""",
     }
 
 
-def _with(body: str) -> str:
-    return f"WITH {SOURCE_CTES},\n{STAGING_CTES},\n{STAR_CTES}\n{body}"
+def _with(body: str, extra: str = "") -> str:
+    """``body`` over the layers; ``extra`` are further (recursive) expressions."""
+    start, more = ("WITH RECURSIVE", f",{extra}") if extra else ("WITH", "")
+    return f"{start} {SOURCE_CTES},\n{STAGING_CTES},\n{STAR_CTES}{more}\n{body}"
 
 
 STG_COLS = {
@@ -365,9 +366,11 @@ def _checks_sql() -> str:
         "dim_customer_scd2": ("customer_key", ["customer_key", "customer_id", "full_name", "city",
                                                "loyalty_member", "signup_date", "valid_from",
                                                "is_current"]),
-        "fact_sales": (None, [c.strip() for c in FACT_COLS.split(",")]),
+        "fact_sales": ("order_item_id", [c.strip() for c in FACT_COLS.split(",")]),
     }
-    dup_terms, null_terms = [], []
+    dup_terms, null_terms = [
+        "(SELECT coalesce(sum(n - 1), 0) FROM (SELECT count(*) AS n FROM dim_customer_scd2 "
+        "GROUP BY customer_id, valid_from HAVING count(*) > 1) t)"], []
     for table, (key, required) in star_tables.items():
         if key:
             dup_terms.append(f"(SELECT coalesce(sum(n - 1), 0) FROM (SELECT count(*) AS n FROM {table} "
@@ -388,7 +391,9 @@ def _checks_sql() -> str:
         ("Q03", "staged customers equal source customers",
          "abs((SELECT count(*) FROM stg_customers) - (SELECT count(*) FROM src_customers))"),
         ("Q04", "one fact row per staged order item",
-         "abs((SELECT count(*) FROM fact_sales) - (SELECT count(*) FROM stg_sales_order_items))"),
+         "(SELECT coalesce(sum(abs(coalesce(s.n, 0) - coalesce(f.n, 0))), 0) FROM "
+         "(SELECT order_item_id, count(*) AS n FROM stg_sales_order_items GROUP BY 1) s FULL JOIN "
+         "(SELECT order_item_id, count(*) AS n FROM fact_sales GROUP BY 1) f USING (order_item_id))"),
         ("Q05", "no fact row with an unresolved date_key", orphan("date_key", "dim_date")),
         ("Q06", "no fact row with an unresolved customer_key",
          orphan("customer_key", "dim_customer_scd2")),
@@ -524,5 +529,49 @@ FROM dim_store d
 LEFT JOIN (SELECT s.store_id, s.store_name, s.city, s.region, m.first_sale AS opening_date
            FROM stg_stores s JOIN (SELECT store_id, min(order_date) AS first_sale
                                    FROM stg_sales_orders GROUP BY store_id) m
-             ON m.store_id = s.store_id) u ON u.store_id = d.store_id""")
+             ON m.store_id = s.store_id) u ON u.store_id = d.store_id
+UNION ALL
+SELECT (SELECT max(store_key) FROM dim_store) + row_number() OVER (ORDER BY max(s.store_id)),
+       max(s.store_id) + 1000, 'Online ' || s.region, 'Online', s.region, min(o.order_date)
+FROM stg_stores s JOIN stg_sales_orders o ON o.store_id = s.store_id
+GROUP BY s.region""")
+    # One event after the other: each closes the version before it.
+    out["dim_customer_replay"] = _with("""
+SELECT CASE WHEN step = 0 THEN customer_key ELSE
+         (SELECT max(customer_key) FROM dim_customer_initial)
+         + row_number() OVER (PARTITION BY step > 0 ORDER BY customer_id, step) END AS customer_key,
+       customer_id, full_name, city, loyalty_member, signup_date, valid_from,
+       CAST((SELECT n.valid_from FROM replay n
+             WHERE n.customer_id = r.customer_id AND n.step = r.step + 1) - 1 AS DATE) AS valid_to,
+       CASE WHEN EXISTS (SELECT 1 FROM replay n WHERE n.customer_id = r.customer_id
+                         AND n.step = r.step + 1) THEN 0 ELSE 1 END AS is_current
+FROM replay r""", extra="""
+events AS (
+    SELECT o.customer_id, o.order_date AS change_date, s.city,
+           row_number() OVER (PARTITION BY o.customer_id ORDER BY o.order_date) AS step
+    FROM (SELECT *, row_number() OVER (PARTITION BY customer_id, year(order_date)
+                                       ORDER BY order_date DESC, order_id DESC) AS latest
+          FROM stg_sales_orders WHERE customer_id IS NOT NULL) o
+    JOIN stg_stores s ON s.store_id = o.store_id
+    WHERE o.latest = 1
+),
+replay AS (
+    SELECT customer_key, customer_id, full_name, city, loyalty_member, signup_date, valid_from,
+           CAST(0 AS BIGINT) AS step
+    FROM dim_customer_initial
+    UNION ALL
+    SELECT r.customer_key, r.customer_id, r.full_name, e.city, r.loyalty_member, r.signup_date,
+           e.change_date, e.step
+    FROM replay r JOIN events e ON e.customer_id = r.customer_id AND e.step = r.step + 1
+)""")
+    orders = {
+        "mart_monthly_revenue": "year, month_number",
+        "mart_customer_cohorts": "cohort_month, order_year, order_month",
+        "mart_product_performance": "total_revenue DESC NULLS LAST",
+        "mart_employee_performance": "sales_rank",
+        "mart_customer_geography": "total_revenue DESC NULLS LAST",
+    }
+    for name, body in _marts("dim_customer_initial").items():
+        out[f"{name}_ordered"] = _with(
+            f"SELECT *, rank() OVER (ORDER BY {orders[name]}) AS position FROM ({body}) m")
     return out

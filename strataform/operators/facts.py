@@ -30,7 +30,7 @@ from .. import schemas
 from ..functions.calendar import date_key
 from ..functions.money import flag, line_amount, line_margin
 from ..sources.io import conform
-from .ordering import prefix_sum
+from .ordering import carry_forward
 
 
 def resolve_customer_current(orders: DataFrame, dim_customer: DataFrame) -> DataFrame:
@@ -54,10 +54,10 @@ def resolve_customer_as_of(orders: DataFrame, dim_customer: DataFrame,
     the signup date resolve too.
 
     Computed as a merge of versions and orders in one global order
-    ``(customer_id, date, versions first)``: a running count of versions
-    (``prefix_sum``) gives every order the index of the last version before
-    it, then one equi-join on that index.  No order is paired with more than
-    one version, whatever the number of versions or orders of a customer.
+    ``(customer_id, date, versions first)``, in which the last version before
+    each order is carried forward (``carry_forward``): no join by customer, so
+    the number of versions or orders of a customer does not matter, and one
+    written table.
     """
     versions = dim_customer.where(
         F.col("valid_to").isNull() | (F.col("valid_to") >= F.col("valid_from"))
@@ -81,31 +81,29 @@ def resolve_customer_as_of(orders: DataFrame, dim_customer: DataFrame,
         *payload)
     events = ev_versions.unionByName(ev_orders)
     tie = [c for c in ("order_id",) if c in payload]
-    counted = prefix_sum(
-        events.withColumn("_sf_is_v", 1 - F.col("_sf_kind")),
-        ["customer_id", "_sf_t", "_sf_kind", "_sf_vkey", *tie], "_sf_is_v", "_sf_vidx")
-    idx = counted.where(F.col("_sf_kind") == 0).select(
-        F.col("_sf_vidx").alias("_sf_match"), F.col("customer_id").alias("_sf_vcid"),
-        F.col("_sf_vkey").alias("customer_key"), F.col("_sf_vto").alias("_sf_valid_to"))
-    asked = counted.where(F.col("_sf_kind") == 1).select(
-        "customer_id", *payload, F.col("_sf_vidx").alias("_sf_match"))
-    hit = asked.join(idx, "_sf_match").where(
-        (F.col("customer_id") == F.col("_sf_vcid"))
-        & (F.col("_sf_valid_to").isNull() | (F.col(date_col) <= F.col("_sf_valid_to"))))
-    return hit.select(*orders.columns, "customer_key")
+    carried = carry_forward(
+        events.withColumns({"_sf_is_version": F.col("_sf_kind") == 0,
+                            "_sf_vcid": F.col("customer_id")}),
+        ["customer_id", "_sf_t", "_sf_kind", "_sf_vkey", *tie], "_sf_is_version",
+        {"_sf_vcid": "_sf_last_id", "_sf_vkey": "_sf_last_key", "_sf_vto": "_sf_last_to"})
+    hit = carried.where(
+        (F.col("_sf_kind") == 1) & (F.col("customer_id") == F.col("_sf_last_id"))
+        & (F.col("_sf_last_to").isNull() | (F.col(date_col) <= F.col("_sf_last_to"))))
+    return hit.select(*orders.columns, F.col("_sf_last_key").alias("customer_key"))
 
 
 def fact_sales(stg_items: DataFrame, stg_orders: DataFrame, stg_returns: DataFrame,
                dim_customer: DataFrame, dim_product: DataFrame, dim_store: DataFrame,
                dim_employee: DataFrame, *, key_mode: str = "current",
                open_first_version: bool = False, dedupe_returns: bool = False,
-               with_fact_id: bool = True) -> DataFrame:
+               with_fact_id: bool = True, fact_id_start: int = 0) -> DataFrame:
     """Build ``fact_sales`` at order-line grain.
 
     Lines whose order, customer, product, store or employee do not resolve are
     dropped (inner joins, as in the load); ``quality`` counts them.
     ``fact_id`` is unique but not dense (the source's keys are not dense
-    either, and nothing reads it).
+    either, and nothing reads it); ``fact_id_start`` continues the ids of
+    earlier loads.
     """
     headers = stg_orders.select("order_id", "customer_id", "store_id", "employee_id", "order_date")
     if key_mode == "current":
@@ -139,6 +137,6 @@ def fact_sales(stg_items: DataFrame, stg_orders: DataFrame, stg_returns: DataFra
         line_amount("quantity", "unit_cost").alias("line_cost"),
         line_margin("quantity", "unit_price_paid", "unit_cost").alias("line_margin"),
         "is_returned")
-    fact = fact.withColumn("fact_id", F.monotonically_increasing_id())
+    fact = fact.withColumn("fact_id", F.monotonically_increasing_id() + F.lit(fact_id_start))
     out = conform(fact, schemas.STAR["fact_sales"])
     return out if with_fact_id else out.drop("fact_id")

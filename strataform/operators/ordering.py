@@ -23,8 +23,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import scratch_table
 
@@ -74,12 +77,11 @@ def prefix_sum(df: DataFrame, order_by: Sequence[ColumnOrName], value: str,
     """Running sum of the integer column ``value`` along a global total order.
 
     A distributed scan: range-partition and sort (as ``with_position``), sum
-    inside each range with an Arrow batch function (``mapInPandas``, rows
-    arrive in sorted order, no shuffle) and write to the checkpoint folder,
-    then add the totals of all earlier ranges (one row per range, broadcast).
+    inside each range over Arrow batches (rows arrive in sorted order, no
+    shuffle, the other columns are passed through untouched) and write to the
+    checkpoint folder, then add the totals of all earlier ranges (one row per
+    range, broadcast).
     """
-    from pyspark.sql import types as T
-
     ordered = _range_partition(df, _sort_cols(order_by), partitions)
     tagged = ordered.select(
         *df.columns, F.monotonically_increasing_id().alias(_MID),
@@ -90,14 +92,15 @@ def prefix_sum(df: DataFrame, order_by: Sequence[ColumnOrName], value: str,
     def running(batches):
         # One call per range partition; batches arrive in sorted row order.
         carry = 0
-        for pdf in batches:
-            if pdf.empty:
+        for batch in batches:
+            if batch.num_rows == 0:
                 continue
-            local = pdf["_sf_v"].cumsum() + carry
-            carry = int(local.iloc[-1])
-            yield pdf.assign(**{local_name: local.astype("int64")})
+            local = pc.add(pc.cumulative_sum(batch.column("_sf_v")), carry)
+            carry = local[-1].as_py()
+            yield pa.RecordBatch.from_arrays([*batch.columns, local],
+                                             names=[*batch.schema.names, local_name])
 
-    local = scratch_table(tagged.mapInPandas(running, out_schema), "prefix")
+    local = scratch_table(tagged.mapInArrow(running, out_schema), "prefix")
     pid = F.shiftright(F.col(_MID), _ROW_BITS)
     totals = local.groupBy(pid.alias(_PID)).agg(F.sum("_sf_v").alias(_CNT))
     offsets = totals.select(
@@ -106,6 +109,51 @@ def prefix_sum(df: DataFrame, order_by: Sequence[ColumnOrName], value: str,
     return joined.select(*df.columns, (F.col(_OFF) + F.col(local_name)).alias(name))
 
 
+def carry_forward(df: DataFrame, order_by: Sequence[ColumnOrName], is_source: str,
+                  values: dict[str, str], partitions: int | None = None) -> DataFrame:
+    """Add the ``values`` (column -> output name) of the nearest earlier row, in the
+    total order, for which the boolean column ``is_source`` holds (the row
+    itself included); NULL before the first.
+
+    Range-partition and sort, fill forward inside each range over Arrow
+    batches, and write once.  Rows before their range's first source row take
+    the last source row of the earlier ranges: one row per range, broadcast.
+    """
+    ordered = _range_partition(df, _sort_cols(order_by), partitions)
+    tagged = ordered.withColumn(_MID, F.monotonically_increasing_id())
+    filled, whole = "_sf_filled", list(values)
+    kind = T.StructType([T.StructField(c, df.schema[c].dataType) for c in whole])
+    out_schema = T.StructType([*tagged.schema.fields, T.StructField(filled, kind)])
+
+    def fill(batches):
+        # One call per range partition; batches arrive in sorted row order.
+        last = None
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            found = pa.StructArray.from_arrays([batch.column(c) for c in whole], names=whole)
+            rows = pa.array(range(batch.num_rows), pa.int64())
+            at = pc.fill_null_forward(pc.if_else(
+                pc.fill_null(batch.column(is_source), False), rows, pa.scalar(None, pa.int64())))
+            here = found.take(at)
+            if last is not None:  # rows before the batch's first source row
+                here = pa.concat_arrays([last, found]).take(
+                    pc.if_else(pc.is_null(at), 0, pc.add(at, 1)))
+            last = here.slice(len(here) - 1, 1) if here[-1].is_valid else last
+            yield pa.RecordBatch.from_arrays([*batch.columns, here],
+                                             names=[*batch.schema.names, filled])
+
+    local = scratch_table(tagged.mapInArrow(fill, out_schema), "carried")
+    pid = F.shiftright(F.col(_MID), _ROW_BITS)
+    ends = local.groupBy(pid.alias(_PID)).agg(F.max_by(
+        F.struct(*whole), F.when(F.col(is_source), F.col(_MID))).alias("_sf_end"))
+    earlier = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select(_PID, F.last("_sf_end", ignorenulls=True).over(earlier).alias("_sf_before"))
+    joined = local.join(F.broadcast(ends), pid == F.col(_PID))
+    value = F.coalesce(filled, "_sf_before")
+    return joined.select(*df.columns, *[value[c].alias(name) for c, name in values.items()])
+
+
 def assign_keys(df: DataFrame, key: str, order_by: Sequence[ColumnOrName],
                 start: int = 1, partitions: int | None = None) -> DataFrame:
     """Surrogate key assignment (AUTO_INCREMENT in natural-key order).

@@ -4,7 +4,9 @@
 script (close the current version the day before the change, open a new one
 copied from the latest version with the new value) to a whole batch of
 changes, several per key allowed.  Changes of one key are applied in
-``(change date, sequence)`` order, exactly as if run one after another:
+``(change date, sequence, tracked values)`` order, exactly as if run one after
+another (the values decide only between changes of one date and sequence, so
+that the result does not depend on the order of the rows):
 
 * every current version of a changed key is closed with
   ``valid_to = first change date - 1 day`` and ``is_current = 0``;
@@ -68,7 +70,7 @@ def scd2_apply(dim: DataFrame, changes: DataFrame, *, natural_key: str = "custom
             "_sf_latest_from")
     if skip_unchanged:
         prev = {t: f"_sf_prev_{t}" for t in tracked}
-        with_prev = lag_within(chg, [nk], [_D, _SEQ], {**prev, _D: "_sf_prev_date"})
+        with_prev = lag_within(chg, [nk], [_D, _SEQ, *tracked], {**prev, _D: "_sf_prev_date"})
         base = latest.select(nk, *[F.col(t).alias(f"_sf_base_{t}") for t in tracked])
         with_prev = with_prev.join(base, nk)
         # A change is compared with the previous change of its key, the first
@@ -85,7 +87,7 @@ def scd2_apply(dim: DataFrame, changes: DataFrame, *, natural_key: str = "custom
     # serves twice: as the surrogate keys of the new versions (continuing
     # after the largest existing key) and to find each change's successor.
     start = next_key_start(dim, sk) if max_key is None else max_key + 1
-    numbered = with_position(chg, [nk, _D, _SEQ], sk, start=start)
+    numbered = with_position(chg, [nk, _D, _SEQ, *tracked], sk, start=start)
     chained = neighbor_values(numbered, sk, [nk], {_D: _NEXT_D}, 1)
     attrs = latest.select(nk, *carried)
     new_keyed = chained.join(attrs, nk).select(
@@ -112,9 +114,12 @@ def scd1_upsert(dim: DataFrame, updates: DataFrame, *, natural_key: str,
     surrogate key; new natural keys are appended with new keys.
 
     ``updates`` has the natural key and the attribute columns of ``dim``, one
-    row per natural key.
+    row per natural key; a repeated key is an error.
     """
     nk, sk = natural_key, surrogate_key
+    twice = updates.groupBy(nk).count().where("count > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"{nk} {twice[0][0]} is updated more than once")
     attrs = [c for c in dim.columns if c not in (nk, sk)]
     incoming = updates.select(nk, *[F.col(a).alias(f"_sf_new_{a}") for a in attrs],
                               F.lit(True).alias("_sf_hit"))

@@ -24,7 +24,3 @@ def extract(source: DataFrame, table: str) -> DataFrame:
     })
     return conform(staged, schemas.STAGING[f"stg_{table}"])
 
-
-def extract_all(sources: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Staging copies of every source table, keyed ``stg_<table>``."""
-    return {f"stg_{name}": extract(df, name) for name, df in sources.items()}

@@ -1,28 +1,29 @@
 """The layered build: source -> staging -> star schema -> SCD2 batch -> marts.
 
-Two ways to run it:
-
-* ``derive_warehouse`` builds every layer as DataFrames over the driver
-  tables (dimension keys are assigned eagerly, the rest stays lazy); used by
-  the registered queries.
-* ``run_build`` is the audited job: each step writes its layer as Parquet
-  under ``out_root`` and the next step reads what was written (a lineage cut
-  that also survives lost executors), stops at the first failure, and
-  returns an audit table ``(step, description, layer, tables, rows, seconds,
-  status)`` that is also written to ``<out_root>/audit/steps``.  Layers:
-  ``staging/stg_*``, ``star/dim_*``, ``star/fact_sales``,
-  ``star/dim_customer_v2`` (after the SCD2 batch), ``marts/mart_*``,
-  ``audit/{customer_changes,checks,row_counts,steps}``.
+Ways to run it:
+
+* ``derive_warehouse`` gives every layer as DataFrames over the driver tables,
+  each table built when it is first asked for; used by the registered queries.
+* ``run_build`` is the audited job, over the driver tables or given source
+  tables: each step writes its layer as Parquet under a new run folder of
+  ``out_root`` and the next step reads what was written (a lineage cut that also
+  survives lost executors), stops at the first failure, and returns an audit
+  table ``(step, description, layer, tables, rows, seconds, status)`` that is
+  also written to ``audit/steps``.  Only when all checks pass does
+  ``out_root`` point at the new run (``sources.published``).
+* ``apply_batch`` and ``append_sales`` take a published warehouse one step on: a
+  further SCD2 batch, further sales; what does not change is not rewritten.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
 import threading
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -32,12 +33,17 @@ from .. import schemas
 from ..operators import dimensions as dims
 from ..operators.facts import fact_sales
 from ..operators.scd import scd2_apply
-from ..operators.staging import extract, extract_all
-from ..session import apply_required_conf, local_table, scratch_table
+from ..operators.staging import extract
+from ..session import (apply_required_conf, local_table, scratch_scope, scratch_table,
+                       written_once)
 from ..sources import driver_tables
 from ..sources.io import conform, table_path, write_bucketed_table, write_table
-from .marts import MARTS
-from .quality import CHECK_SCHEMA, evaluate_checks
+from ..sources.lazy import LazyTables, once
+from ..sources.published import new_run, publish_tables, published, published_table
+from .marts import MARTS, publish_marts
+from .quality import CHECK_SCHEMA, evaluate_checks, failed_batch
+
+Builder = Callable[[], DataFrame]
 
 AUDIT_SCHEMA = T.StructType([
     T.StructField("step", T.StringType(), False),
@@ -52,23 +58,18 @@ AUDIT_SCHEMA = T.StructType([
 
 @dataclass
 class Warehouse:
-    source: dict[str, DataFrame]
-    staging: dict[str, DataFrame]
-    star: dict[str, DataFrame]            # after the initial load
-    changes: DataFrame                    # the SCD2 change batch
-    _after: dict[str, DataFrame] = field(default_factory=dict)
-    _lock: threading.Lock = field(default_factory=threading.Lock, repr=False)
+    """Tables by name, each built when it is first asked for."""
+
+    source: Mapping[str, DataFrame]
+    staging: Mapping[str, DataFrame]
+    star: Mapping[str, DataFrame]         # after the initial load
+    star_after: Mapping[str, DataFrame]   # after the change batch
+    _changes: Callable[[], DataFrame]
 
     @property
-    def star_after(self) -> dict[str, DataFrame]:
-        """The star schema after the change batch (built on first use; the
-        new dimension version is written once to the checkpoint folder)."""
-        with self._lock:
-            if not self._after:
-                after = apply_customer_changes(self.star, self.changes)
-                after["dim_customer"] = scratch_table(after["dim_customer"], "dim_customer_v2")
-                self._after.update(after)
-        return self._after
+    def changes(self) -> DataFrame:
+        """The SCD2 change batch."""
+        return self._changes()
 
 
 def customer_city_changes(tables: dict[str, DataFrame]) -> DataFrame:
@@ -94,56 +95,69 @@ def customer_city_changes(tables: dict[str, DataFrame]) -> DataFrame:
     return moves.select("customer_id", "change_date", F.col("store_city").alias("city"))
 
 
-def build_star(spark: SparkSession, staging: dict[str, DataFrame],
-               key_mode: str = "current") -> dict[str, DataFrame]:
-    """Dimensions and fact from the staging layer (the transform-and-load step).
+def star_builders(spark: SparkSession, staging: Mapping[str, DataFrame],
+                  key_mode: str = "current",
+                  calendar: tuple[dt.date, dt.date] | None = None) -> Mapping[str, DataFrame]:
+    """Dimensions and fact from the staging layer, each on first use.
 
-    The dimensions' key assignments are independent jobs, started together.
+    A numbered dimension is written once, so that no reader numbers it again.
     """
-    dim_store = dims.dim_store(staging["stg_stores"])
-    builders = {
-        "dim_date": lambda: dims.dim_date_for_orders(spark, staging["stg_sales_orders"]),
-        "dim_store": lambda: dim_store,
-        "dim_employee": lambda: dims.dim_employee(staging["stg_employees"], dim_store),
-        "dim_product": lambda: dims.dim_product(staging["stg_products"],
-                                                staging["stg_categories"]),
-        "dim_customer": lambda: dims.dim_customer_initial(staging["stg_customers"]),
-    }
-    with ThreadPoolExecutor(max_workers=len(builders)) as pool:
-        futures = {name: pool.submit(build) for name, build in builders.items()}
-        star = {name: future.result() for name, future in futures.items()}
-    star["fact_sales"] = fact_sales(
-        staging["stg_sales_order_items"], staging["stg_sales_orders"],
-        staging["stg_product_returns"], star["dim_customer"], star["dim_product"],
-        star["dim_store"], star["dim_employee"], key_mode=key_mode)
-    return star
-
-
-def apply_customer_changes(star: dict[str, DataFrame], changes: DataFrame) -> dict[str, DataFrame]:
+    def keyed(name: str, build: Builder) -> Builder:
+        return lambda: written_once(build, spark, name)
+
+    tables = LazyTables({
+        "dim_date": lambda: dims.dim_date_for_orders(spark, staging["stg_sales_orders"], calendar),
+        "dim_store": keyed("dim_store", lambda: dims.dim_store(staging["stg_stores"])),
+        "dim_employee": keyed("dim_employee", lambda: dims.dim_employee(
+            staging["stg_employees"], tables["dim_store"])),
+        "dim_product": keyed("dim_product", lambda: dims.dim_product(
+            staging["stg_products"], staging["stg_categories"])),
+        "dim_customer": keyed("dim_customer", lambda: dims.dim_customer_initial(
+            staging["stg_customers"])),
+        "fact_sales": keyed("fact_sales", lambda: fact_sales(
+            staging["stg_sales_order_items"], staging["stg_sales_orders"],
+            staging["stg_product_returns"], tables["dim_customer"], tables["dim_product"],
+            tables["dim_store"], tables["dim_employee"], key_mode=key_mode)),
+    })
+    return tables
+
+
+def after_changes(star: Mapping[str, DataFrame], changes: Callable[[], DataFrame],
+                  spark: SparkSession) -> Mapping[str, DataFrame]:
     """The incremental SCD2 step: only ``dim_customer`` changes; facts keep
     the keys they were loaded with."""
-    after = dict(star)
-    after["dim_customer"] = scd2_apply(star["dim_customer"], changes)
-    return after
+    builders = {name: (lambda name=name: star[name]) for name in star}
+    builders["dim_customer"] = lambda: written_once(
+        lambda: scd2_apply(star["dim_customer"], changes()), spark, "dim_customer_v2")
+    return LazyTables(builders)
 
 
-def _staged(staging: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def _staged(staging: Mapping[str, DataFrame]) -> Mapping[str, DataFrame]:
     """Staged copies under their source names (same rows and columns)."""
-    return {name[len("stg_"):]: df for name, df in staging.items()}
+    return LazyTables({name[len("stg_"):]: (lambda name=name: staging[name]) for name in staging})
 
 
 _CACHE: dict[tuple, Warehouse] = {}
 _CACHE_LOCK = threading.Lock()
 
 
+def _files_now(spark: SparkSession, sf_dir: str) -> tuple:
+    """What identifies the input files: their number and a sum over path,
+    size and time of change (their contents are not read)."""
+    paths = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in driver_tables.DRIVER_TABLES]
+    files = spark.read.format("binaryFile").load(paths)
+    row = files.agg(F.count(F.lit(1)), F.sum(F.xxhash64(
+        "path", "length", "modificationTime").cast("decimal(38,0)"))).first()
+    return tuple(row)
+
+
 def derive_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """All layers over the driver tables in ``sf_dir`` (memoised per session).
+    """All layers over the driver tables in ``sf_dir``, built on first use.
 
-    Source and staging stay views over the driver tables; dimensions get
-    their keys (small jobs); the fact is materialised once in the checkpoint
-    folder, as is the customer dimension after the change batch.
+    Kept per application and as long as the input files stay the same.
     """
-    cache_key = (id(spark), spark.conf.get("spark.app.id", ""), sf_dir.rstrip("/"))
+    apply_required_conf(spark)
+    cache_key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), _files_now(spark, sf_dir))
     with _CACHE_LOCK:
         if cache_key not in _CACHE:
             _CACHE[cache_key] = _derive(spark, sf_dir)
@@ -151,15 +165,12 @@ def derive_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
 
 
 def _derive(spark: SparkSession, sf_dir: str) -> Warehouse:
-    apply_required_conf(spark)
     source = driver_tables.source_tables(spark, sf_dir)
-    staging = extract_all(source)
-    star = build_star(spark, staging)
-    # The fact feeds most queries: written once to the checkpoint folder
-    # instead of being recomputed from the driver tables by each of them.
-    star["fact_sales"] = scratch_table(star["fact_sales"], "fact_sales")
-    changes = customer_city_changes(_staged(staging))
-    return Warehouse(source, staging, star, changes)
+    staging = LazyTables({f"stg_{name}": (lambda name=name: extract(source[name], name))
+                          for name in source})
+    star = star_builders(spark, staging)
+    changes = once(lambda: scratch_table(customer_city_changes(_staged(staging)), "changes"))
+    return Warehouse(source, staging, star, after_changes(star, changes, spark), changes)
 
 
 def row_count_report(staging: dict[str, DataFrame], star: dict[str, DataFrame]) -> DataFrame:
@@ -177,8 +188,6 @@ def row_count_report(staging: dict[str, DataFrame], star: dict[str, DataFrame])
 # Audited layered job
 # --------------------------------------------------------------------------
 
-Builder = Callable[[], DataFrame]
-
 
 # Staged tables bucketed on the key of the fact's largest join.
 BUCKETED = {"stg_sales_order_items": "order_id", "stg_sales_orders": "order_id"}
@@ -215,10 +224,16 @@ def write_layer(spark: SparkSession, builders: dict[str, Builder], root: str, la
     ``max_keys`` when given.
     """
     bucketed = bucketed or {}
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = int(spark.conf.get("spark.strataform.buckets",
+                                 spark.conf.get("spark.sql.shuffle.partitions")))
     database = build_database(spark, root) if bucketed else None
 
     def one(name: str) -> tuple[str, DataFrame, int]:
+        # Scratch tables of the build are not needed once its table is written.
+        with scratch_scope(spark):
+            return write(name)
+
+    def write(name: str) -> tuple[str, DataFrame, int]:
         obs = Observation(f"{layer}.{name}")
         path = table_path(root, layer, name)
         df = builders[name]()
@@ -253,63 +268,71 @@ def write_layer(spark: SparkSession, builders: dict[str, Builder], root: str, la
     return {n: df for n, df, _ in results}, {n: rows for n, _, rows in results}
 
 
-def run_build(spark: SparkSession, sf_dir: str, out_root: str,
-              changes: DataFrame | None = None) -> DataFrame:
+def run_build(spark: SparkSession, sf_dir: str | None, out_root: str,
+              changes: DataFrame | None = None,
+              sources: Mapping[str, DataFrame] | None = None,
+              calendar: tuple[dt.date, dt.date] | None = None) -> DataFrame:
     """Run every layer in order with timings; stop at the first failure.
 
-    The operational source is read in place (views over the driver tables,
-    as a live source would be read); staging is the first layer written.
+    The operational tables are ``sources`` (the eight tables by name, for
+    example ``load_source_tables``), or derived from the driver tables in
+    ``sf_dir``; staging is the first layer written.  ``calendar`` is the first
+    and last day of ``dim_date``.
     """
     apply_required_conf(spark)
+    with scratch_scope(spark):
+        return _build(spark, sf_dir, out_root, new_run(out_root), changes, sources, calendar)
+
+
+def _build(spark: SparkSession, sf_dir: str | None, root: str, out_root: str,
+           changes: DataFrame | None, sources: Mapping[str, DataFrame] | None,
+           calendar: tuple[dt.date, dt.date] | None) -> DataFrame:
+    tables: dict[str, list[str]] = {}
     audit: list[tuple] = []
     state: dict[str, dict[str, DataFrame]] = {}
     batch: list[DataFrame] = []
     known: dict[str, object] = {}
-    persisted: list[DataFrame] = []
     max_keys: dict[str, int] = {}
 
     def step_source():
-        state["source"] = driver_tables.source_tables(spark, sf_dir, persisted)
-        return "source", len(state["source"]), None
+        if sources is not None:
+            missing = set(schemas.SOURCE) - set(sources)
+            if missing:
+                raise ValueError(f"missing source tables: {', '.join(sorted(missing))}")
+            state["source"] = sources
+        else:
+            state["source"] = driver_tables.source_tables_now(spark, sf_dir)
+        return "source", len(schemas.SOURCE), None
 
     def step_extract():
         src = state["source"]
         # Rows read from each source table are observed in the same job that
         # writes its staging copy (checks Q01-Q03 compare the two counts).
-        read_obs = {name: Observation(f"source.{name}") for name in src}
+        names = list(schemas.SOURCE)
+        read_obs = {name: Observation(f"source.{name}") for name in names}
         builders = {f"stg_{name}": (lambda name=name: extract(
             src[name].observe(read_obs[name], F.count(F.lit(1)).alias("n")), name))
-            for name in src}
+            for name in names}
         state["staging"], rows = write_layer(spark, builders, out_root, "staging",
                                              bucketed=BUCKETED)
         for name, short in (("sales_orders", "src_orders"), ("sales_order_items", "src_items"),
                             ("customers", "src_customers")):
             known[f"{short}.n"] = read_obs[name].get["n"]
-        for df in persisted:
-            df.unpersist()
         return "staging", len(rows), sum(rows.values())
 
     def step_dimensions():
         stg = state["staging"]
-        keyed_store: dict[str, DataFrame] = {}
-        store_lock = threading.Lock()
-
-        def store() -> DataFrame:
-            # Built once, by whichever of the store and employee writers asks first.
-            with store_lock:
-                if "df" not in keyed_store:
-                    keyed_store["df"] = dims.dim_store(stg["stg_stores"])
-            return keyed_store["df"]
-
+        store, rows = write_layer(
+            spark, {"dim_store": lambda: dims.dim_store(stg["stg_stores"])}, out_root, "star",
+            max_keys=max_keys)
         builders = {
-            "dim_date": lambda: dims.dim_date_for_orders(spark, stg["stg_sales_orders"]),
-            "dim_store": store,
-            "dim_employee": lambda: dims.dim_employee(stg["stg_employees"], store()),
+            "dim_date": lambda: dims.dim_date_for_orders(spark, stg["stg_sales_orders"], calendar),
+            "dim_employee": lambda: dims.dim_employee(stg["stg_employees"], store["dim_store"]),
             "dim_product": lambda: dims.dim_product(stg["stg_products"], stg["stg_categories"]),
             "dim_customer": lambda: dims.dim_customer_initial(stg["stg_customers"]),
         }
-        state["initial"], rows = write_layer(spark, builders, out_root, "star",
-                                             max_keys=max_keys)
+        others, more = write_layer(spark, builders, out_root, "star", max_keys=max_keys)
+        state["initial"], rows = {**store, **others}, {**rows, **more}
         return "star", len(rows), sum(rows.values())
 
     def step_fact():
@@ -348,8 +371,6 @@ def run_build(spark: SparkSession, sf_dir: str, out_root: str,
     def step_marts():
         builders = {name: (lambda build=build: build(state["star"])) for name, build in MARTS.items()}
         state["marts"], rows = write_layer(spark, builders, out_root, "marts")
-        for name, df in state["marts"].items():
-            df.createOrReplaceTempView(name)
         return "marts", len(rows), sum(rows.values())
 
     def step_checks():
@@ -390,7 +411,7 @@ def run_build(spark: SparkSession, sf_dir: str, out_root: str,
                     round(time.perf_counter() - t0, 3), "OK"), None
         except Exception as exc:  # fail fast, but keep the audit row
             return (name, description, None, 0, None,
-                    round(time.perf_counter() - t0, 3), f"FAILED: {exc}"[:500]), exc
+                    round(time.perf_counter() - t0, 3), f"FAILED: {exc}"), exc
 
     failure = None
     started = time.perf_counter()
@@ -414,4 +435,82 @@ def run_build(spark: SparkSession, sf_dir: str, out_root: str,
     write_table(audit_df.coalesce(1), table_path(out_root, "audit", "steps"))
     if failure is not None:
         raise failure
+    layers = {"staging": state["staging"], "star": state["star"], "marts": state["marts"]}
+    for layer, found in layers.items():
+        for name in found:
+            stored = "dim_customer_v2" if (layer, name) == ("star", "dim_customer") else name
+            tables[f"{layer}/{name}"] = [table_path(out_root, layer, stored)]
+    for name in ("customer_changes", "checks", "row_counts", "steps"):
+        tables[f"audit/{name}"] = [table_path(out_root, "audit", name)]
+    publish_tables(spark, root, out_root, tables)
+    # The marts as views that follow the star schema just published.
+    publish_marts(state["star"])
     return audit_df
+
+
+# --------------------------------------------------------------------------
+# Further batches on a published warehouse
+# --------------------------------------------------------------------------
+
+def published_star(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The star schema last published under ``root``."""
+    return {name: published_table(spark, root, "star", name, schema)
+            for name, schema in schemas.STAR.items()}
+
+
+def _publish_step(spark: SparkSession, root: str, run: str, changed: dict[str, list[str]],
+                  star: dict[str, DataFrame]) -> None:
+    """Rebuild the marts over ``star``, then point ``root`` at the new tables."""
+    written, _ = write_layer(spark, {name: (lambda build=build: build(star))
+                                     for name, build in MARTS.items()}, run, "marts")
+    marts = {f"marts/{name}": [table_path(run, "marts", name)] for name in written}
+    publish_tables(spark, root, run, {**published(spark, root)["tables"], **changed, **marts})
+    publish_marts(star)
+
+
+def apply_batch(spark: SparkSession, root: str, changes: DataFrame) -> None:
+    """Apply a further SCD2 batch to the published customers.
+
+    The new version and the marts are written to a new run folder, checked, and
+    published together; a failing check leaves the published tables as they are.
+    """
+    apply_required_conf(spark)
+    run, star = new_run(root), published_star(spark, root)
+    written, _ = write_layer(spark, {"customer_changes": lambda: changes}, run, "audit")
+    batch = written["customer_changes"]
+    written, _ = write_layer(spark, {"dim_customer_v2": lambda: scd2_apply(
+        star["dim_customer"], batch)}, run, "star")
+    new = written["dim_customer_v2"]
+    failed = failed_batch(star["dim_customer"], new, batch)
+    if failed:
+        raise RuntimeError(f"data-quality checks failed: {', '.join(failed)}")
+    _publish_step(spark, root, run, {
+        "star/dim_customer": [table_path(run, "star", "dim_customer_v2")],
+        "audit/customer_changes": [table_path(run, "audit", "customer_changes")],
+    }, {**star, "dim_customer": new})
+
+
+def append_sales(spark: SparkSession, root: str, items: DataFrame, orders: DataFrame,
+                 returns: DataFrame) -> int:
+    """Append staged sales to the published fact; ``fact_id`` goes on after the
+    largest one.  A line whose keys do not resolve, or that the fact already
+    holds, fails the batch.  Returns the number of rows added."""
+    apply_required_conf(spark)
+    run, star = new_run(root), published_star(spark, root)
+    largest = star["fact_sales"].agg(F.max("fact_id")).first()[0]
+    written, rows = write_layer(spark, {"fact_sales": lambda: fact_sales(
+        items, orders, returns, star["dim_customer"], star["dim_product"], star["dim_store"],
+        star["dim_employee"], fact_id_start=0 if largest is None else largest + 1)}, run, "star")
+    added = written["fact_sales"]
+    lost = items.join(added, "order_item_id", "left_anti").limit(1).count()
+    known = star["fact_sales"].select("order_item_id").join(
+        added.select("order_item_id").distinct(), "order_item_id", "left_semi").limit(1).count()
+    days = added.join(star["dim_date"], "date_key", "left_anti").limit(1).count()
+    if lost or known or days:
+        raise RuntimeError("unresolved lines" if lost else
+                           "lines already loaded" if known else "days outside the calendar")
+    paths = [*published(spark, root)["tables"]["star/fact_sales"],
+             table_path(run, "star", "fact_sales")]
+    fact = star["fact_sales"].unionByName(added)
+    _publish_step(spark, root, run, {"star/fact_sales": paths}, {**star, "fact_sales": fact})
+    return rows["fact_sales"]

@@ -9,7 +9,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -122,5 +125,48 @@ def scratch_table(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    for scope in getattr(_SCOPES, "open", []):
+        scope.append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_SCOPES = threading.local()
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Scratch tables that this thread writes inside the block are removed at its
+    end; nothing that still reads them may leave the block."""
+    paths: list[str] = []
+    held = getattr(_SCOPES, "open", [])
+    _SCOPES.open = [*held, paths]
+    try:
+        yield
+    finally:
+        _SCOPES.open = held
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        for path in paths:
+            folder = hadoop.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def outside_scopes():
+    """What this thread writes inside the block belongs to no scope: for tables
+    that are kept for later readers."""
+    held = getattr(_SCOPES, "open", [])
+    _SCOPES.open = []
+    try:
+        yield
+    finally:
+        _SCOPES.open = held
+
+
+def written_once(build: Callable[[], DataFrame], spark: SparkSession, label: str) -> DataFrame:
+    """The result of ``build`` as a scratch table that is kept; scratch tables
+    written on the way are removed."""
+    with scratch_scope(spark):
+        df = build()
+        with outside_scopes():
+            return scratch_table(df, label)

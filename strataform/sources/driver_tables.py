@@ -9,39 +9,39 @@ employees          supplier: works at the store of its nation, role by key
 categories         distinct ``p_type``; id = position in name order
 products           part: price = retail price, cost = 60 % of the price
 customers          customer + nation: city = nation name (NULL if no nation)
-sales_orders       orders with at least one line; employee = smallest supplier
-                   key on the order's lines, store = that supplier's nation
-sales_order_items  lineitem + part: one item per line, id = order key * 100 +
-                   line position in the order; price paid = list price less
-                   discount
+sales_orders       all orders; employee = smallest supplier key on the order's
+                   lines, or the smallest of all for an order without lines
+                   (the house account); store = that supplier's nation
+sales_order_items  lineitem + part: one item per line, id = position of the
+                   line among all lines; price paid = list price less discount
 product_returns    one return per line flagged 'R', dated on the ship date
 =================  ===========================================================
 
-Scale notes: lines are numbered inside each order with a window partitioned
-by the order key; an order's line count is bounded by the id encoding (fewer
-than 100 lines; more would make ids collide, which check Q19d reports), so no
-window group is large.  The per-order employee is a map-side ``min``.  Items
-and returns share one numbering of the lines (cached for the extract).
+Scale notes: lines are numbered in one global order (range sort, no group is
+gathered), so ids cannot collide however many lines an order has.  The
+per-order employee is a map-side ``min``.  Items and returns share one written
+numbering of the lines.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators.ordering import assign_keys
 from .io import conform
+from .lazy import LazyTables, once
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 # Fixed values of the derived source data.
-ROLES = ["Vendeur", "Vendeur Senior", "Manager Magasin", "Responsable Rayon"]
+ROLES = ["Sales Assistant", "Senior Assistant", "Floor Lead", "Branch Manager"]
 STORE_OPENING_DATE = dt.date(1990, 1, 1)
 HIRE_DATE_BASE = dt.date(1990, 1, 1)
 HIRE_DATE_SPREAD_DAYS = 1461
@@ -50,7 +50,6 @@ SIGNUP_DATE_SPREAD_DAYS = 365
 LOYALTY_SEGMENT = "HOUSEHOLD"
 UNIT_COST_RATIO = Decimal("0.60")
 RETURN_FLAG = "R"
-LINES_PER_ORDER_LIMIT = 100
 
 
 def read_driver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -119,22 +118,19 @@ def customers(t: dict[str, DataFrame]) -> DataFrame:
     return conform(df, schemas.SOURCE["customers"])
 
 
-def _lines(t: dict[str, DataFrame]) -> DataFrame:
-    """Driver lines with their order item id (order key * 100 + position).
+# What order items and returns take from a line; equal lines are interchangeable.
+LINE_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount",
+                "l_returnflag", "l_shipdate"]
 
-    The position orders every column of the line, so it is deterministic even
-    where ``(l_orderkey, l_linenumber)`` repeats.
-    """
-    li = t["lineitem"]
-    w = Window.partitionBy("l_orderkey").orderBy(
-        "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-        "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
-    return li.withColumn(
-        "order_item_id", F.col("l_orderkey") * LINES_PER_ORDER_LIMIT + F.row_number().over(w))
+
+def numbered_lines(t: dict[str, DataFrame]) -> DataFrame:
+    """Driver lines with their order item id: 1, 2, ... in the order of the
+    line's columns."""
+    return assign_keys(t["lineitem"].select(*LINE_COLUMNS), "order_item_id", LINE_COLUMNS)
 
 
 def sales_order_items(t: dict[str, DataFrame], lines: DataFrame | None = None) -> DataFrame:
-    lines = _lines(t) if lines is None else lines
+    lines = numbered_lines(t) if lines is None else lines
     p = t["part"]
     discount = F.col("l_discount").cast(schemas.PERCENT)
     list_price = F.col("p_retailprice").cast(schemas.MONEY)
@@ -149,7 +145,7 @@ def sales_order_items(t: dict[str, DataFrame], lines: DataFrame | None = None) -
 
 
 def product_returns(t: dict[str, DataFrame], lines: DataFrame | None = None) -> DataFrame:
-    lines = _lines(t) if lines is None else lines
+    lines = numbered_lines(t) if lines is None else lines
     df = lines.where(F.col("l_returnflag") == RETURN_FLAG).select(
         F.col("order_item_id").alias("return_id"),
         F.col("order_item_id"),
@@ -160,8 +156,10 @@ def product_returns(t: dict[str, DataFrame], lines: DataFrame | None = None) ->
 
 def sales_orders(t: dict[str, DataFrame]) -> DataFrame:
     o, s = t["orders"], t["supplier"]
-    seller = t["lineitem"].groupBy("l_orderkey").agg(F.min("l_suppkey").alias("employee_id"))
-    df = (o.join(seller, o["o_orderkey"] == seller["l_orderkey"])
+    seller = t["lineitem"].groupBy("l_orderkey").agg(F.min("l_suppkey").alias("seller"))
+    house = s.agg(F.min("s_suppkey")).scalar()
+    df = (o.join(seller, o["o_orderkey"] == seller["l_orderkey"], "left")
+          .withColumn("employee_id", F.coalesce("seller", house))
           .join(s, F.col("employee_id") == s["s_suppkey"])
           .select(F.col("o_orderkey").alias("order_id"),
                   F.col("o_custkey").alias("customer_id"),
@@ -172,28 +170,30 @@ def sales_orders(t: dict[str, DataFrame]) -> DataFrame:
     return conform(df, schemas.SOURCE["sales_orders"])
 
 
-def source_tables(spark: SparkSession, sf_dir: str,
-                  persisted: list[DataFrame] | None = None) -> dict[str, DataFrame]:
-    """All eight operational tables, lazily derived from ``sf_dir``.
-
-    ``categories`` gets its keys here (one small job); the rest stays lazy.
-    With ``persisted`` (a list the caller later unpersists), the numbered
-    lines shared by order items and returns are cached (memory, spilling to
-    disk), so one extract computes their shuffle and sort once, not twice.
-    """
-    t = read_driver_tables(spark, sf_dir)
-    lines = _lines(t)
-    if persisted is not None:
-        lines = lines.persist(StorageLevel.MEMORY_AND_DISK)
-        persisted.append(lines)
-    cats = categories(t)
+def _builders(t: dict[str, DataFrame], cats: Callable[[], DataFrame],
+              lines: Callable[[], DataFrame]) -> dict[str, Callable[[], DataFrame]]:
     return {
-        "stores": stores(t),
-        "employees": employees(t),
+        "stores": lambda: stores(t),
+        "employees": lambda: employees(t),
         "categories": cats,
-        "products": products(t, cats),
-        "customers": customers(t),
-        "sales_orders": sales_orders(t),
-        "sales_order_items": sales_order_items(t, lines),
-        "product_returns": product_returns(t, lines),
+        "products": lambda: products(t, cats()),
+        "customers": lambda: customers(t),
+        "sales_orders": lambda: sales_orders(t),
+        "sales_order_items": lambda: sales_order_items(t, lines()),
+        "product_returns": lambda: product_returns(t, lines()),
     }
+
+
+def source_tables(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
+    """All eight operational tables over ``sf_dir``, each built on first use;
+    the categories and the lines are numbered at most once."""
+    t = read_driver_tables(spark, sf_dir)
+    return LazyTables(_builders(t, once(lambda: categories(t)), once(lambda: numbered_lines(t))))
+
+
+def source_tables_now(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The same tables with the numbering done by this call, for a job that
+    removes its scratch tables at its end."""
+    t = read_driver_tables(spark, sf_dir)
+    cats, lines = categories(t), numbered_lines(t)
+    return {name: build() for name, build in _builders(t, lambda: cats, lambda: lines).items()}

@@ -19,8 +19,12 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
     A bulk literal load becomes ``fmt='csv'`` with ``options={'header': 'true'}``;
     with ``schema`` given nothing is inferred, so the scan stays a single pass.
+    Text formats are read strictly: a cell that does not fit its type, or a
+    header that differs from the schema, fails the job.
     """
-    reader = spark.read.format(fmt).options(**(options or {}))
+    strict = {"csv": {"mode": "FAILFAST", "enforceSchema": "false"},
+              "json": {"mode": "FAILFAST"}}.get(fmt, {})
+    reader = spark.read.format(fmt).options(**{**strict, **(options or {})})
     if schema is not None:
         # A declared schema also spares the footer-reading job of inference.
         reader = reader.schema(schema)
@@ -47,28 +51,36 @@ def read_jdbc(spark: SparkSession, url: str, table: str, schema: T.StructType,
               num_partitions: int | None = None) -> DataFrame:
     """Scan a live operational table over JDBC, split into parallel range reads.
 
-    With ``partition_column`` and bounds, each task reads one key range, so the
-    extract is not funnelled through one connection.
+    With ``partition_column``, its bounds and ``num_partitions``, each task reads
+    one key range.  All four or none: without them the whole table is one
+    task's read through one connection, right for small tables only.
     """
+    split = (partition_column, lower_bound, upper_bound, num_partitions)
+    if any(x is None for x in split) and any(x is not None for x in split):
+        raise ValueError("a split read needs partition_column, lower_bound, upper_bound "
+                         "and num_partitions")
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
     for key, value in (properties or {}).items():
         reader = reader.option(key, value)
     if partition_column is not None:
         reader = (reader.option("partitionColumn", partition_column)
                   .option("lowerBound", str(lower_bound)).option("upperBound", str(upper_bound))
-                  .option("numPartitions", str(num_partitions or 8)))
+                  .option("numPartitions", str(num_partitions)))
     return conform(reader.load(), schema)
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+def conform(df: DataFrame, schema: T.StructType, defaults: Sequence[str] = ()) -> DataFrame:
     """Project ``df`` onto a declared schema: order, names and types.
 
     Casts are ANSI casts, so a value that does not fit (text in a number
     column, overflow of a DECIMAL) fails the job instead of turning NULL.
-    Columns missing from ``df`` become typed NULLs (defaults are explicit
-    ``withColumn`` calls by the caller).
+    A column missing from ``df`` is an error unless it is named in ``defaults``;
+    it then becomes a typed NULL.
     """
     present = set(df.columns)
+    missing = [f.name for f in schema.fields if f.name not in present and f.name not in defaults]
+    if missing:
+        raise ValueError(f"missing columns: {', '.join(missing)}")
     cols = []
     for field in schema.fields:
         if field.name in present:
@@ -97,10 +109,12 @@ def write_bucketed_table(df: DataFrame, path: str, table: str, by: str, buckets:
 
     Tables bucketed the same way on a join key are joined without a shuffle:
     staged order lines and order headers are both bucketed on ``order_id``,
-    the key of the largest join of the load.  No write-side sort: a bucket
-    holds one file per writing task, so the join sorts its input anyway.
+    the key of the largest join of the load.  Rows are dealt by the same hash
+    before the write, so each bucket is one sorted file whatever the number of
+    writing tasks.  Bucketed reads are not split by adaptive skew handling.
     """
-    df.write.mode("overwrite").bucketBy(buckets, by).option("path", path).saveAsTable(table)
+    (df.repartition(buckets, by).write.mode("overwrite").bucketBy(buckets, by).sortBy(by)
+     .option("path", path).saveAsTable(table))
 
 
 def register_bucketed_table(spark: SparkSession, table: str, path: str, schema: T.StructType,

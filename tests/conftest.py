@@ -19,11 +19,13 @@ def spark():
 
 @pytest.fixture(scope="session")
 def built_root(spark):
-    """One audited build at sf0.001, shared by the tests that read its layers."""
+    """One audited build at sf0.001, shared by the tests that read its layers: the
+    folder of its run and the audit rows."""
     import tempfile
 
     from strataform.plans.warehouse import run_build
+    from strataform.sources.published import published
 
     root = tempfile.mkdtemp(prefix="strataform-test-build-")
     audit = run_build(spark, SF_SMALL, root)
-    return root, {r["step"]: r for r in audit.collect()}
+    return published(spark, root)["run"], {r["step"]: r for r in audit.collect()}

@@ -47,7 +47,7 @@ def test_published_marts_read_in_documented_order(spark):
         "fact_sales": fact, "dim_date": dim_date(spark, D(2024, 1, 1), D(2024, 12, 31)),
         "dim_store": spark.createDataFrame([(1, 1, "Centre", "Paris", "IDF", D(2019, 1, 1))],
                                            schemas.STAR["dim_store"]),
-        "dim_employee": spark.createDataFrame([(1, 1, "Lea", "Vendeur", 1, D(2020, 1, 1))],
+        "dim_employee": spark.createDataFrame([(1, 1, "Lea", "Sales Assistant", 1, D(2020, 1, 1))],
                                               schemas.STAR["dim_employee"]),
         "dim_product": spark.createDataFrame(
             [(1, 1, "Lamp", "Home", Decimal("6.00"), Decimal("10.00"))],

@@ -52,7 +52,7 @@ def _star_inputs(spark):
     ], schemas.STAR["dim_product"])
     stores = spark.createDataFrame([(1, 1, "Centre", "Paris", "IDF", D(2019, 1, 1))],
                                    schemas.STAR["dim_store"])
-    employees = spark.createDataFrame([(1, 1, "Lea", "Vendeur", 1, D(2020, 1, 1))],
+    employees = spark.createDataFrame([(1, 1, "Lea", "Sales Assistant", 1, D(2020, 1, 1))],
                                       schemas.STAR["dim_employee"])
     return items, orders, returns, customers, products, stores, employees
 
@@ -141,8 +141,8 @@ def test_employee_rank_ties_share_rank_then_gap(spark):
 
     star = _star(spark)
     star["dim_employee"] = spark.createDataFrame(
-        [(1, 1, "Lea", "Vendeur", 1, D(2020, 1, 1)), (2, 2, "Max", "Vendeur", 1, D(2020, 1, 1)),
-         (3, 3, "Zoe", "Vendeur", 1, D(2020, 1, 1)), (4, 4, "Ugo", "Vendeur", 1, D(2020, 1, 1))],
+        [(1, 1, "Lea", "Sales Assistant", 1, D(2020, 1, 1)), (2, 2, "Max", "Sales Assistant", 1, D(2020, 1, 1)),
+         (3, 3, "Zoe", "Sales Assistant", 1, D(2020, 1, 1)), (4, 4, "Ugo", "Sales Assistant", 1, D(2020, 1, 1))],
         schemas.STAR["dim_employee"])
     fact = star["fact_sales"]
     order2 = fact.where("order_id = 2")   # 300.00 of kept sales

@@ -25,6 +25,7 @@ from strataform.operators.facts import fact_sales  # noqa: E402
 from strataform.plans import marts  # noqa: E402
 from strataform.plans.warehouse import BUCKETED, build_database, run_build  # noqa: E402
 from strataform.sources.io import conform, read_table, table_path  # noqa: E402
+from strataform.sources.published import published  # noqa: E402
 
 KEEP = re.compile(r"^(\s*[+:|-]|\(\d+\) |PushedFilters|ReadSchema|PartitionFilters|Bucketed|"
                   r"Arguments: (hashpartitioning|rangepartitioning|SinglePartition))")
@@ -55,6 +56,7 @@ def main() -> None:
     spark = build_session(shuffle_partitions=16, extra=extra)
     root = tempfile.mkdtemp(prefix="strataform-plans-")
     run_build(spark, args.sf_dir, root)
+    root = published(spark, root)["run"]
     database = build_database(spark, root)
     stg = {}
     for name in schemas.STAGING:
