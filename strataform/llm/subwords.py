@@ -85,16 +85,26 @@ class _PartCache:
         return out
 
 
+def read_ranks(rank_file: str) -> dict[bytes, int]:
+    with open(rank_file, "rb") as lines:
+        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+
+
+def rank_table(ranks: dict[bytes, int]) -> list[bytes]:
+    """The bytes of each id."""
+    table = [b""] * (max(ranks.values()) + 1)
+    for piece, rank in ranks.items():
+        table[rank] = piece
+    return table
+
+
 class ByteBpe(_PartCache):
     """Byte-level BPE by a rank file, one split-pattern match at a time."""
 
     def __init__(self, rank_file: str, pattern: str, cache_chars: int = 4_000_000):
         super().__init__(cache_chars)
-        with open(rank_file, "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        self.table = [b""] * (max(ranks.values()) + 1)
-        for piece, rank in ranks.items():
-            self.table[rank] = piece
+        ranks = read_ranks(rank_file)
+        self.table = rank_table(ranks)
         if len(self.table) > 1 << 16:
             self.dtype = np.dtype("<u4")
         self.whole = tiktoken.Encoding("whole", pat_str=pattern, mergeable_ranks=ranks,
