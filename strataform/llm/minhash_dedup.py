@@ -16,6 +16,10 @@ Candidates are verified on whole sets:
 * keys whose nodes are still in different components are finished by comparing
   the nodes of different components with each other.  Two nodes of one component
   need no comparison, so a large group of copies costs one comparison a node.
+  Of the pairs left, those are dropped whose sizes or parity sketches rule the
+  similarity out: a sketch holds the parity of the number of shingles in each of
+  ``SKETCH_BITS`` cells, so two sketches differ in at most as many cells as the
+  sets differ in shingles.  Texts that share one passage seldom pass.
 
 No step keeps a cap on partners.  All groupings are joins and partial
 aggregates, so a key that holds a large share of the rows is split.
@@ -43,6 +47,7 @@ HALVES = 14
 HALF_WIDTH = 2
 #: Similarity as a fraction: 75 / 100.
 THRESHOLD = (75, 100)
+SKETCH_BITS = 1024
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, bool)
@@ -148,7 +153,22 @@ def half_bands(hashes: np.ndarray, bounds: np.ndarray, halves: int, width: int)
     return out.view(np.int64)
 
 
-_SIGNATURE = "doc_id bigint, text_key bigint, n bigint, hi bigint, lo bigint, halves array<bigint>"
+def parity_sketches(hashes: np.ndarray, bounds: np.ndarray, rows: int = 256) -> np.ndarray:
+    """(rows, SKETCH_BITS / 64): parity of the number of shingles in each cell."""
+    out = np.zeros((len(bounds) - 1, SKETCH_BITS // 64), np.int64)
+    cell = (hashes >> np.uint64(64 - (SKETCH_BITS.bit_length() - 1))).astype(np.int64)
+    for at in range(0, len(out), rows):
+        some = bounds[at:at + rows + 1]
+        row = np.repeat(np.arange(len(some) - 1), np.diff(some))
+        counts = np.bincount(row * SKETCH_BITS + cell[some[0]:some[-1]],
+                             minlength=(len(some) - 1) * SKETCH_BITS)
+        bits = np.packbits((counts & 1).astype(np.uint8).reshape(-1, SKETCH_BITS), axis=1)
+        out[at:at + rows] = bits.view(np.int64)
+    return out
+
+
+_SIGNATURE = ("doc_id bigint, text_key bigint, n bigint, hi bigint, lo bigint, "
+              "halves array<bigint>, sketch array<bigint>")
 
 
 def signatures(docs: DataFrame, halves: int = HALVES, width: int = HALF_WIDTH,
@@ -163,13 +183,17 @@ def signatures(docs: DataFrame, halves: int = HALVES, width: int = HALF_WIDTH,
                 hi, lo = set_keys(hashes, bounds)
                 n = np.diff(bounds)
                 bands = half_bands(hashes, bounds, halves, width)
+                cells = parity_sketches(hashes, bounds)
                 ends = np.concatenate(([0], np.cumsum(np.where(n > 0, halves, 0))))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a),
                      pa.array(n), pa.array(hi), pa.array(lo),
                      pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
-                                              pa.array(bands.ravel()))],
-                    names=["doc_id", "text_key", "n", "hi", "lo", "halves"])
+                                              pa.array(bands.ravel())),
+                     pa.ListArray.from_arrays(
+                         pa.array(np.arange(len(n) + 1) * cells.shape[1], pa.int32()),
+                         pa.array(cells.ravel()))],
+                    names=["doc_id", "text_key", "n", "hi", "lo", "halves", "sketch"])
 
     text = F.col(text_col).cast("string")
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
@@ -199,6 +223,15 @@ def _alike(a: str, b: str, threshold: tuple[int, int]):
     return F.least(a, b) * whole >= F.greatest(a, b) * part
 
 
+def _near_sketches(sketch_a: str, sketch_b: str, a: str, b: str, threshold: tuple[int, int]):
+    """The parity sketches allow the similarity: at similarity s, sets differ in
+    at most (1 - s) / (1 + s) of their sizes' sum."""
+    part, whole = threshold
+    cells = sum((F.bit_count(F.col(sketch_a)[i].bitwiseXOR(F.col(sketch_b)[i]))
+                 for i in range(SKETCH_BITS // 64)), F.lit(0))
+    return cells * (whole + part) <= (F.col(a) + F.col(b)) * (whole - part)
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """Components of the edges (a, b): (node, component), the smallest node.
 
@@ -255,7 +288,8 @@ def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD,
     # One node for each distinct set.
     nodes = scratch_table(
         sig.where("n > 0").groupBy("hi", "lo", "n").agg(
-            F.first("halves").alias("halves"), F.min("doc_id").alias("doc_id"))
+            F.first("halves").alias("halves"), F.first("sketch").alias("sketch"),
+            F.min("doc_id").alias("doc_id"))
         .withColumn("node", F.monotonically_increasing_id()), "nodes")
     keys = F.explode(F.array(*[
         F.xxhash64(F.lit(t), F.col("halves")[i], F.col("halves")[j])
@@ -291,14 +325,16 @@ def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD,
         parts, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("c"))
     open_keys = placed.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).where(
         "x <> y").select("key")
-    placed = scratch_table(placed.join(open_keys, "key", "left_semi"), "open-keys")
-    left = placed.select("key", F.col("node").alias("a"), F.col("n").alias("na"),
-                         F.col("c").alias("ca"))
-    right = placed.select("key", F.col("node").alias("b"), F.col("n").alias("nb"),
-                          F.col("c").alias("cb"))
+    placed = scratch_table(
+        placed.join(open_keys, "key", "left_semi").join(nodes.select("node", "sketch"), "node"),
+        "open-keys")
+    left, right = (placed.select("key", F.col("node").alias(x), F.col("n").alias(f"n{x}"),
+                                 F.col("c").alias(f"c{x}"), F.col("sketch").alias(f"s{x}"))
+                   for x in ("a", "b"))
     cross = (left.join(right, "key").where("a < b and ca <> cb")
-             .where(_alike("na", "nb", threshold)).select("a", "b").distinct()
-             .join(star, ["a", "b"], "left_anti"))
+             .where(_alike("na", "nb", threshold))
+             .where(_near_sketches("sa", "sb", "na", "nb", threshold))
+             .select("a", "b").distinct().join(star, ["a", "b"], "left_anti"))
     more = scratch_table(_linked(scratch_table(cross, "cross-pairs"), sets, threshold), "links")
     # Later links join components found so far; only those go another round.
     named = parts.select(F.col("node").alias("a"), F.col("component").alias("ca"))
