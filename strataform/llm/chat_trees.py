@@ -1,9 +1,11 @@
 """Chat formatting over reply trees.
 
-A node is one message; its parent is the message it replies to.  Root-to-leaf
-paths are found by self-joins that double the known part of every path: after
-k joins each node knows its last 2^k ancestors, so a tree of depth d takes
-about log2(d) joins.  Each root's paths are ranked by the sum of their
+A node is one message; its parent is the message it replies to.  Self-joins of
+the reply links give the links over 2, 4, 8, ... replies, each table smaller than
+the one before.  The paths from every leaf are then unfolded from the longest
+links to the shortest: each join reaches the ancestors whose distance has that
+power of two in it, so every ancestor is met exactly once, and a tree of depth d
+takes about 2 log2(d) joins.  Each root's paths are ranked by the sum of their
 messages' scores, and each chosen path is formatted as one conversation.
 
 Template: ``<|im_start|>role\\ntext<|im_end|>\\n`` for each turn.  A backslash
@@ -61,68 +63,78 @@ def linear_tree(messages: DataFrame, conv: str = "conv_id", turn: str = "turn",
         "role", "text", F.lit(0.0).alias("score"))
 
 
+def _node_key(column: str) -> Column:
+    """Node ids of any type as text, so that they can be joined null-safe."""
+    return F.to_json(F.struct(F.col(column).alias("n")), {"ignoreNullFields": "false"})
+
+
+def ancestor_links(replies: DataFrame, nodes: int) -> list[DataFrame]:
+    """Written tables (node, above) over 1, 2, 4, ... replies."""
+    links = [scratch_table(replies, "links-1")]
+    while links[-1].limit(1).count():
+        if 1 << len(links) > 2 * nodes:
+            raise ValueError("the reply links hold a cycle")
+        half = links[-1]
+        links.append(scratch_table(
+            half.select("node", F.col("above").alias("mid")).join(
+                half.select(F.col("node").alias("mid"), "above"), "mid").select("node", "above"),
+            f"links-{1 << len(links)}"))
+    return links[:-1]
+
+
 def root_to_leaf_paths(nodes: DataFrame) -> DataFrame:
-    """Paths (root, leaf, path, score) of every leaf: ``path`` lists the nodes
-    from the root, ``score`` sums their scores.
+    """Every path from a root to a leaf, one row per message on it: leaf, at (0
+    for the root), node (as text).
 
-    Nodes need columns node, parent (null for a root; never null inside a
-    cycle) and score.  Node ids are compared null-safe through their JSON text.
+    ``nodes`` has node and parent; a parent that is null or not in the table
+    makes its child a root.
     """
-    key = F.to_json(F.struct(F.col("node").alias("n")), {"ignoreNullFields": "false"})
-    up = F.when(F.col("parent").isNotNull(), F.to_json(
-        F.struct(F.col("parent").alias("n")), {"ignoreNullFields": "false"}))
-    keyed = nodes.select(key.alias("node"), up.alias("above"),
-                         F.coalesce("score", F.lit(0.0)).alias("score"))
-    # A parent that is not in the table makes its child a root.
-    known = keyed.select(F.col("node").alias("above"))
-    roots = keyed.join(known, "above", "left_anti").select(
-        "node", F.lit(None).cast("string").alias("above"), "score")
-    others = keyed.join(known.distinct(), "above", "left_semi").select("node", "above", "score")
-    paths = scratch_table(roots.unionByName(others).select(
-        "node", "above", F.array("node").alias("path"), "score"), "paths")
-    parents = paths.where(F.col("above").isNotNull()).select("above").distinct()
-    while paths.where(F.col("above").isNotNull()).limit(1).count():
-        higher = paths.select(F.col("node").alias("above"), F.col("above").alias("next"),
-                              F.col("path").alias("front"), F.col("score").alias("more"))
-        paths = scratch_table(paths.join(higher, "above", "left").select(
-            "node", F.col("next").alias("above"),
-            F.when(F.col("front").isNull(), F.col("path"))
-            .otherwise(F.concat("front", "path")).alias("path"),
-            (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score")), "paths")
-    leaves = paths.join(parents.select(F.col("above").alias("node")), "node", "left_anti")
-    return leaves.select(F.col("path")[0].alias("root"), F.col("node").alias("leaf"),
-                         "path", "score")
-
-
-def ranked_paths(paths: DataFrame) -> DataFrame:
-    """Adds ``rank`` among the paths of one root: higher score first, then the
-    longer path, then the smaller leaf."""
-    order = Window.partitionBy("root").orderBy(F.desc("score"), F.desc(F.size("path")), "leaf")
-    return paths.withColumn("rank", F.row_number().over(order))
+    keyed = scratch_table(nodes.select(
+        _node_key("node").alias("node"),
+        F.when(F.col("parent").isNotNull(), _node_key("parent")).alias("above")), "nodes")
+    known = keyed.select(F.col("node").alias("above")).distinct()
+    replies = keyed.where("above is not null").join(known, "above", "left_semi").select(
+        "node", "above")
+    links = ancestor_links(replies, keyed.count())
+    answered = replies.select(F.col("above").alias("node")).distinct()
+    paths = keyed.select("node").join(answered, "node", "left_anti").select(
+        F.col("node").alias("leaf"), "node", F.lit(0).cast("bigint").alias("up"))
+    for k in reversed(range(len(links))):
+        here = F.struct("leaf", "node", "up")
+        there = F.when(F.col("above").isNotNull(), F.struct(
+            "leaf", F.col("above").alias("node"), (F.col("up") + F.lit(1 << k)).alias("up")))
+        paths = paths.join(links[k], "node", "left").select(
+            F.inline(F.array_compact(F.array(here, there))))
+    paths = scratch_table(paths, "paths")
+    length = paths.groupBy("leaf").agg(F.max("up").alias("top"))
+    return paths.join(length, "leaf").select("leaf", (F.col("top") - F.col("up")).alias("at"),
+                                             "node")
 
 
 def formatted_conversations(nodes: DataFrame, best: int | None = 1) -> DataFrame:
     """The ``best`` paths of each root (None: all) as conversations: tree, leaf,
     rank, formatted, and loss_spans (start from 0 and length, in characters of
     ``formatted``) of the assistant texts.  ``nodes`` has tree, node, parent,
-    role, text and score."""
-    chosen = ranked_paths(root_to_leaf_paths(nodes))
-    if best is not None:
-        chosen = chosen.where(F.col("rank") <= best)
-    key = F.to_json(F.struct(F.col("node").alias("n")), {"ignoreNullFields": "false"})
-    spoken = nodes.select(key.alias("node"), "tree",
+    role, text and score; a path with a higher sum of scores comes first, then
+    the longer path, then the smaller leaf."""
+    spoken = nodes.select(_node_key("node").alias("node"), "tree",
+                          F.coalesce("score", F.lit(0.0)).alias("score"),
                           escaped_role(F.coalesce("role", F.lit(""))).alias("e_role"),
                           escaped(F.coalesce("text", F.lit(""))).alias("e_text"),
                           F.col("role").eqNullSafe("assistant").alias("answers"))
-    placed = chosen.select("leaf", "rank", F.posexplode("path").alias("at", "node")).join(
-        spoken, "node")
+    steps = root_to_leaf_paths(nodes).join(spoken, "node")
     turn = F.concat(F.lit(START), "e_role", F.lit("\n"), "e_text", F.lit(f"{END}\n"))
     lead = F.length("e_role") + F.lit(len(START) + 1)
-    rows = placed.groupBy("leaf", "rank").agg(
-        F.first("tree").alias("tree"),
+    rows = steps.groupBy("leaf").agg(
+        F.first("tree").alias("tree"), F.sum("score").alias("score"),
+        F.max(F.when(F.col("at") == 0, F.col("node"))).alias("root"),
         F.array_sort(F.collect_list(F.struct(
             "at", turn.alias("turn"), lead.alias("lead"), F.length("e_text").alias("chars"),
             "answers"))).alias("turns"))
+    order = Window.partitionBy("root").orderBy(F.desc("score"), F.desc(F.size("turns")), "leaf")
+    rows = rows.withColumn("rank", F.row_number().over(order))
+    if best is not None:
+        rows = rows.where(F.col("rank") <= best)
     spans = F.aggregate(
         "turns",
         F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>")
