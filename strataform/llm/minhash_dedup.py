@@ -19,7 +19,8 @@ Candidates are verified on whole sets:
   Of the pairs left, those are dropped whose sizes or parity sketches rule the
   similarity out: a sketch holds the parity of the number of shingles in each of
   ``SKETCH_BITS`` cells, so two sketches differ in at most as many cells as the
-  sets differ in shingles.  Texts that share one passage seldom pass.
+  sets differ in shingles.  Texts that share one passage seldom pass.  A pair
+  that shares several keys is met in the first of them only.
 
 No step keeps a cap on partners.  All groupings are joins and partial
 aggregates, so a key that holds a large share of the rows is split.
@@ -232,6 +233,15 @@ def _near_sketches(sketch_a: str, sketch_b: str, a: str, b: str, threshold: tupl
     return cells * (whole + part) <= (F.col(a) + F.col(b)) * (whole - part)
 
 
+def _first_key(a: str, b: str, tables: list[tuple[int, int]]):
+    """The key of the first table in which two nodes agree.  There the pair is
+    met, or one of them is the key's smallest node and was compared already."""
+    return F.coalesce(*[
+        F.when((F.col(a)[i] == F.col(b)[i]) & (F.col(a)[j] == F.col(b)[j]),
+               F.xxhash64(F.lit(t), F.col(a)[i], F.col(a)[j]))
+        for t, (i, j) in enumerate(tables)])
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """Components of the edges (a, b): (node, component), the smallest node.
 
@@ -291,9 +301,10 @@ def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD,
             F.first("halves").alias("halves"), F.first("sketch").alias("sketch"),
             F.min("doc_id").alias("doc_id"))
         .withColumn("node", F.monotonically_increasing_id()), "nodes")
+    tables = list(combinations(range(halves), 2))
     keys = F.explode(F.array(*[
         F.xxhash64(F.lit(t), F.col("halves")[i], F.col("halves")[j])
-        for t, (i, j) in enumerate(combinations(range(halves), 2))]))
+        for t, (i, j) in enumerate(tables)]))
     keyed = nodes.select(keys.alias("key"), "node", "n")
     first = keyed.groupBy("key").agg(
         F.min("node").alias("pivot"), F.count(F.lit(1)).alias("members")).where("members > 1")
@@ -326,14 +337,16 @@ def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD,
     open_keys = placed.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).where(
         "x <> y").select("key")
     placed = scratch_table(
-        placed.join(open_keys, "key", "left_semi").join(nodes.select("node", "sketch"), "node"),
-        "open-keys")
+        placed.join(open_keys, "key", "left_semi").join(
+            nodes.select("node", "sketch", "halves"), "node"), "open-keys")
     left, right = (placed.select("key", F.col("node").alias(x), F.col("n").alias(f"n{x}"),
-                                 F.col("c").alias(f"c{x}"), F.col("sketch").alias(f"s{x}"))
+                                 F.col("c").alias(f"c{x}"), F.col("sketch").alias(f"s{x}"),
+                                 F.col("halves").alias(f"h{x}"))
                    for x in ("a", "b"))
     cross = (left.join(right, "key").where("a < b and ca <> cb")
              .where(_alike("na", "nb", threshold))
              .where(_near_sketches("sa", "sb", "na", "nb", threshold))
+             .where(F.col("key") == _first_key("ha", "hb", tables))
              .select("a", "b").distinct().join(star, ["a", "b"], "left_anti"))
     more = scratch_table(_linked(scratch_table(cross, "cross-pairs"), sets, threshold), "links")
     # Later links join components found so far; only those go another round.
