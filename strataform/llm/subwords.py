@@ -54,14 +54,17 @@ class _PartCache:
 
     def encode_parts(self, parts: list[str]) -> list[bytes]:
         """Ids of each of the distinct ``parts`` as little-endian ``dtype`` bytes."""
+        self._encode_new(set(parts))
+        return list(map(self.cache.__getitem__, parts))
+
+    def _encode_new(self, parts: set[str]) -> None:
         if self.held > self.cache_chars:
             self.cache.clear()
             self.held = 0
-        missing = [p for p in parts if p not in self.cache]
+        missing = list(parts.difference(self.cache))
         if missing:
             self.encode_missing(missing)
             self.held += sum(map(len, missing))
-        return [self.cache[p] for p in parts]
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian ``dtype`` bytes."""
@@ -70,7 +73,7 @@ class _PartCache:
         size = 0
 
         def flush() -> None:
-            self.encode_parts(list(set(chain.from_iterable(step))))
+            self._encode_new(set(chain.from_iterable(step)))
             get = self.cache.__getitem__
             out.extend(b"".join(map(get, parts)) for parts in step)
             step.clear()
