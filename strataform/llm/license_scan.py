@@ -89,7 +89,7 @@ def base_columns(lower: str, phrases: dict[str, str]) -> dict[str, Column]:
                                        for p in phrases])
     places = F.when(near, F.regexp_count(text, F.lit(every))).otherwise(0)
     some = near & (F.regexp_count(text, F.lit(every)) > 0)
-    before_first = F.substring(text, F.lit(1), F.regexp_instr(text, F.lit(every)) - 1)
+    before_first = F.regexp_extract(text, f"(?s)^(.*?){every}", 1)
     before_last = F.regexp_extract(text, f"(?s)^(.*){every}", 1)
     labels = F.array(*[F.when(near & text.rlike(_place([p])), F.lit(label))
                        for p, label in phrases.items()])

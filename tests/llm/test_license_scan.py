@@ -45,3 +45,10 @@ def test_no_rows(no_docs):
 def test_only_dataframe_functions(edge_docs):
     plan = license_scan.scan(edge_docs)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "InArrow"))
+
+
+def test_first_place_behind_supplementary_characters(spark):
+    rows = [(1, "\U0001F642\U0001F642\U0001F642 mit license"), (2, "a \U0001F642! b mit license, mit license")]
+    got = {r.doc_id: (r.first_word, r.last_word) for r in license_scan.scan(
+        spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {1: (1, 1), 2: (3, 5)}
