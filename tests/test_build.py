@@ -8,7 +8,7 @@ import shutil
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from tests.conftest import SF_SMALL
 from strataform import schemas
 from strataform.operators.facts import resolve_customer_as_of
 from strataform.operators.scd import scd1_upsert, scd2_apply

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import sql_oracle
-from conftest import SF_SMALL
+from tests.conftest import SF_SMALL
 from strataform.plans.quality import evaluate_checks
 from strataform.plans.warehouse import derive_warehouse
 
