@@ -114,6 +114,51 @@ r AS (
 SELECT * FROM r WHERE rank <= 5
 """
 
+#: crc32 of the decimal digits, bit by bit from its polynomial.
+_CRC32 = """
+  xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+    string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+      lambda x, i: xor(x >> 1, (x & 1) * 3988292384))))"""
+
+PERIODIC_RUNS = rf"""
+WITH h AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         {_CRC32} AS h FROM documents),
+g AS (SELECT *, h // 10 AS g, len(w) AS n FROM h),
+a AS (SELECT *, CASE WHEN n > 0 THEN g % n END AS a FROM g),
+p AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM a),
+t AS (
+  SELECT doc_id, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(
+    range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) ELSE w END AS w
+  FROM p),
+k AS (SELECT doc_id, generate_subscripts(w, 1) - 1 AS i, unnest(w) AS word FROM t),
+same AS (
+  SELECT x.doc_id, y.i - x.i AS q, x.i,
+         x.i - row_number() OVER (PARTITION BY x.doc_id, y.i - x.i ORDER BY x.i) AS island
+  FROM k x JOIN k y ON x.doc_id = y.doc_id AND x.word = y.word AND x.i < y.i),
+stretch AS (
+  SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM same
+  GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(12, 2 * q)),
+runs AS (
+  SELECT doc_id, start, length, min(q) AS period FROM stretch GROUP BY ALL),
+listed AS (
+  SELECT doc_id, count(*) AS n_runs,
+         min(struct_pack(l := -length, s := start, p := period)) AS best,
+         string_agg(start || ',' || length || ',' || period || chr(10), ''
+                    ORDER BY start, period) AS runs
+  FROM runs GROUP BY doc_id),
+kept AS (
+  SELECT doc_id, i, word FROM k WHERE NOT EXISTS (
+    SELECT 1 FROM runs r WHERE r.doc_id = k.doc_id AND k.i >= r.start + r.period
+      AND k.i < r.start + r.length)),
+joined AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM kept GROUP BY doc_id)
+SELECT t.doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, -best.l AS length,
+       best.p AS period, (1000 * -best.l) // best.p AS exponent_milli,
+       sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(joined.text, '')) AS collapsed_sha256
+FROM t LEFT JOIN listed USING (doc_id) LEFT JOIN joined USING (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -122,4 +167,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_chat_trees": CHAT_TREES,
         "op7_license_scan": LICENSE_SCAN,
         "op10_topk_search": TOPK_SEARCH,
+        "op12_periodic_runs": PERIODIC_RUNS,
     }

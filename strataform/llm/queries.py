@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import attention_lm, byte_bpe, chat_trees, exact_dedup, kdtree_search, language_id, license_scan, minhash_dedup, \
-    packing, toxicity
+    packing, periodic_runs, quality_embeddings, toxicity, whitening
 from .common import held_out, read_table, ship_package
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -90,6 +90,24 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
                                F.col("vec_id") % 50 == 0)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.by_component(whitening.whiten(read_table(spark, sf_dir, "embeddings")))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_repeats(read_table(spark, sf_dir, "documents"))
+    return periodic_runs.run_report(periodic_runs.runs_of(docs)).drop("n_words")
+
+
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = quality_embeddings.train(docs, read_table(spark, sf_dir, "labels"),
+                                     ~held_out("id", 2, folds=4))
+    return quality_embeddings.score(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out("doc_id", 2, folds=4).alias("held_out"), "score",
+        (F.col("score") >= quality_embeddings.GOOD_FROM).cast("int").alias("predicted"))
+
+
 def _ready(query: Callable[[SparkSession, str], DataFrame]):
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,4 +119,5 @@ def _ready(query: Callable[[SparkSession, str], DataFrame]):
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: _ready(f) for f in (
         op1_language_id, op2_toxicity, op3_minhash_dedup, op4_exact_dedup, op5_byte_bpe, op6_chat_trees,
-        op7_license_scan, op8_attention_lm, op9_packing, op10_topk_search)}
+        op7_license_scan, op8_attention_lm, op9_packing, op10_topk_search, op11_whitening, op12_periodic_runs,
+        op13_quality)}

@@ -1,5 +1,5 @@
 import pytest
-from conftest import as_rows, in_duckdb
+from tests.llm.conftest import as_rows, in_duckdb
 from pyspark.sql import functions as F
 
 from strataform.llm import chat_trees, oracle, queries

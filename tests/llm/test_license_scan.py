@@ -1,4 +1,4 @@
-from conftest import as_rows, in_duckdb
+from tests.llm.conftest import as_rows, in_duckdb
 
 from strataform.llm import license_scan, oracle
 

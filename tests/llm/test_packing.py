@@ -7,7 +7,7 @@ from tokenizers import Tokenizer
 
 from strataform.llm import packing, queries, subwords
 
-from test_byte_bpe import strange_texts
+from tests.llm.test_byte_bpe import strange_texts
 
 WORDS = public_tokenizers.path(queries.WORDS)
 

@@ -4,8 +4,8 @@ import __spark_entry__
 import corpus_pipeline
 import public_tokenizers
 import pytest
-from test_exact_dedup import plain as plain_exact
-from test_minhash_dedup import plain as plain_near
+from tests.llm.test_exact_dedup import plain as plain_exact
+from tests.llm.test_minhash_dedup import plain as plain_near
 
 from strataform.llm import oracle, queries, subwords
 from strataform.session import scratch_table
