@@ -32,9 +32,9 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -107,11 +107,10 @@ def text_features(text: str) -> tuple[np.ndarray, np.ndarray]:
     words: dict[bytes, int] = {}
     at = np.fromiter((words.setdefault(w, len(words)) for w in found), np.int64, len(found))
     rows, bounds = word_features(list(words))
-    times = np.repeat(np.bincount(at), np.diff(bounds))
-    counts = np.bincount(rows, weights=times, minlength=TABLE).astype(np.int64)
-    counts += np.bincount(pair_features(word_codes(list(words))[at]), minlength=TABLE)
-    some = np.flatnonzero(counts)
-    return some, counts[some]
+    pairs = pair_features(word_codes(list(words))[at])
+    times = np.concatenate([np.repeat(np.bincount(at), np.diff(bounds)), np.ones(len(pairs), np.int64)])
+    rows, place = np.unique(np.concatenate([rows, pairs]), return_inverse=True)
+    return rows, np.bincount(place, weights=times).astype(np.int64)
 
 
 @dataclass
@@ -121,6 +120,7 @@ class Model:
     table: np.ndarray
     layer: np.ndarray
     offset: np.ndarray
+    room: np.ndarray | None = None
 
     @classmethod
     def fresh(cls) -> "Model":
@@ -139,18 +139,23 @@ class Model:
 
     def step(self, rows: np.ndarray, counts: np.ndarray, label: int, rate: float) -> None:
         """One step of gradient descent on one document."""
-        share = counts / max(1, counts.sum())
-        average = share @ self.table[rows] if len(rows) else np.zeros(WIDTH)
+        share = (counts / max(1, counts.sum())).astype(np.float32)
+        if self.room is None or self.room.shape[1] < len(rows):
+            self.room = np.empty((2, 2 * len(rows), WIDTH), np.float32)  # used by every step
+        found, move = self.room[:, :len(rows)]
+        np.take(self.table, rows, axis=0, out=found, mode="clip")
+        average = share @ found
         z = average @ self.layer + self.offset
         p = np.exp(z - z.max())
         p /= p.sum()
         p[label] -= 1
+        p *= np.float32(rate)
         slope = self.layer @ p
-        self.layer -= (rate * np.outer(average, p)).astype(np.float32)
-        self.offset -= (rate * p).astype(np.float32)
+        self.layer -= np.outer(average, p)
+        self.offset -= p
         if len(rows):
-            spread = share / (share @ share)
-            self.table[rows] -= (rate * np.outer(spread, slope)).astype(np.float32)
+            found -= np.outer(share / (share @ share), slope, out=move)
+            self.table[rows] = found
 
     def differences(self) -> tuple[np.ndarray, float]:
         """What each table row and the offset add in favour of label 1."""
@@ -182,30 +187,37 @@ def _sample(docs: DataFrame, labels: DataFrame, label_col: str, learn: Column, s
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, 64), batch.column(1).slice(i, 64),
                      pa.ListArray.from_arrays(bounds, pa.array(np.concatenate(
-                         [r for r, _ in found]), pa.int64())),
+                         [r for r, _ in found]), pa.int32())),
                      pa.ListArray.from_arrays(bounds, pa.array(np.concatenate(
-                         [c for _, c in found]), pa.int64()))],
+                         [c for _, c in found]), pa.int32()))],
                     names=["place", "label", "rows", "counts"])
 
     return scratch_table(picked.select("place", "label", "text").mapInArrow(
-        run, "place bigint, label int, rows array<bigint>, counts array<bigint>"), "quality-sample")
+        run, "place bigint, label int, rows array<int>, counts array<int>"), "quality-sample")
 
 
-def _worker(sent, r: int):
+def _worker(sent, r: int, worker: int):
     """The steps of one worker in round ``r``, from the model that was sent."""
-    def work(key, rows: pd.DataFrame) -> pd.DataFrame:
-        own = Model.unpacked(np.frombuffer(sent.value, np.float32))
-        rows = rows.sort_values("place", kind="stable")
-        items = list(zip(rows["rows"], rows["counts"], rows["label"].clip(0, 1), strict=True))
-        mixed = np.random.default_rng([r, int(key[0])])
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, items = Model.unpacked(np.frombuffer(sent.value, np.float32)), []
+        for batch in batches:
+            for place, label, rows, counts in zip(*batch.columns[:4], strict=True):
+                items.append((place.as_py(), rows.values.to_numpy(), counts.values.to_numpy(),
+                              min(max(label.as_py(), 0), 1)))
+        if not items:
+            return
+        items.sort(key=lambda item: item[0])
+        mixed = np.random.default_rng([r, worker])
         epochs = max(EPOCHS, -(-STEPS // len(items)))
         steps, done = epochs * len(items), 0
         for _ in range(epochs):
             for i in mixed.permutation(len(items)):
                 # The rate falls in a line over all rounds.
-                own.step(*items[i], RATE * (1 - (r + done / steps) / ROUNDS))
+                own.step(*items[i][1:], RATE * (1 - (r + done / steps) / ROUNDS))
                 done += 1
-        return pd.DataFrame({"n": [len(items)], "model": [own.packed()]})
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([len(items)], pa.int64()), pa.array([own.packed()], pa.binary())],
+            names=["n", "model"])
     return work
 
 
@@ -218,8 +230,11 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, label_col: str = "q
     model = Model.fresh()
     for r in range(ROUNDS):
         sent = spark.sparkContext.broadcast(model.packed())
-        # A worker's share of the sample is bounded; one row a worker comes back.
-        results = dealt.groupBy("worker").applyInPandas(_worker(sent, r), "n bigint, model binary").collect()
+        # Each worker reads its share of the sample, which is bounded, in one task;
+        # one row a worker comes back.
+        shares = [dealt.where(F.col("worker") == w).coalesce(1).mapInArrow(
+            _worker(sent, r, w), "n bigint, model binary") for w in range(WORKERS)]
+        results = reduce(DataFrame.unionByName, shares).collect()
         sent.destroy()
         total = sum(row.n for row in results)
         if not total:
