@@ -165,6 +165,12 @@ def combined_profiles(tables: dict[str, tuple[DataFrame, list[str], list[str], d
     per_key = stacked.groupBy("_t", "_k", "_k2").agg(
         F.count(F.lit(1)).alias("_n"), F.sum("_nulls").alias("_nulls"),
         *[F.sum(m).alias(m) for m in measures])
+    # A row for every table, so that an empty one has a profile too.
+    every = stacked.sparkSession.range(1).select(
+        F.explode(F.array(*map(F.lit, tables))).alias("_t"),
+        F.lit(0).cast("bigint").alias("_n"), F.lit(0).cast("bigint").alias("_nulls"),
+        *[F.lit(None).cast("decimal(38,2)").alias(m) for m in measures])
+    per_key = per_key.select(*every.columns).unionByName(every)
     return per_key.groupBy(F.col("_t").alias("t")).agg(
         F.sum("_n").alias("n"),
         F.sum(F.when(F.col("_n") > 1, F.col("_n") - 1).otherwise(0)).alias("dup"),

@@ -10,9 +10,9 @@ Ways to run it:
   survives lost executors), stops at the first failure, and returns an audit
   table ``(step, description, layer, tables, rows, seconds, status)`` that is
   also written to ``audit/steps``.  Only when all checks pass does
-  ``out_root`` point at the new run (``sources.published``).
-* ``apply_batch`` and ``append_sales`` take a published warehouse one step on: a
-  further SCD2 batch, further sales; what does not change is not rewritten.
+  ``out_root`` publish the new run (``sources.published``).
+* ``plans.increments`` takes a published warehouse one step on: a further SCD2
+  batch, further sales; what does not change is not rewritten.
 """
 
 from __future__ import annotations
@@ -39,9 +39,9 @@ from ..session import (apply_required_conf, local_table, scratch_scope, scratch_
 from ..sources import driver_tables
 from ..sources.io import conform, table_path, write_bucketed_table, write_table
 from ..sources.lazy import LazyTables, once
-from ..sources.published import new_run, publish_tables, published, published_table
+from ..sources.published import new_run, publish_tables
 from .marts import MARTS, publish_marts
-from .quality import CHECK_SCHEMA, evaluate_checks, failed_batch
+from .quality import CHECK_SCHEMA, evaluate_checks
 
 Builder = Callable[[], DataFrame]
 
@@ -393,11 +393,11 @@ def _build(spark: SparkSession, sf_dir: str | None, root: str, out_root: str,
     stages = [
         [("source", "read the operational tables (derived from the driver tables)",
           step_source)],
-        [("extract", "EXTRACT source -> staging", step_extract)],
-        [("dimensions", "LOAD calendar, store, employee, product, customer", step_dimensions),
+        [("extract", "copy the operational tables to staging", step_extract)],
+        [("dimensions", "number and write the dimensions", step_dimensions),
          ("changes", "derive and log the customer change batch", step_changes)],
-        [("fact", "LOAD fact_sales", step_fact),
-         ("scd2", "incremental SCD2 batch on dim_customer", step_scd2)],
+        [("fact", "resolve the keys of every order line", step_fact),
+         ("scd2", "apply the change batch to the customers", step_scd2)],
         [("marts", "build the analytical marts", step_marts)],
         [("checks", "cross-layer data-quality checks and row counts", step_checks)],
     ]
@@ -446,71 +446,3 @@ def _build(spark: SparkSession, sf_dir: str | None, root: str, out_root: str,
     # The marts as views that follow the star schema just published.
     publish_marts(state["star"])
     return audit_df
-
-
-# --------------------------------------------------------------------------
-# Further batches on a published warehouse
-# --------------------------------------------------------------------------
-
-def published_star(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The star schema last published under ``root``."""
-    return {name: published_table(spark, root, "star", name, schema)
-            for name, schema in schemas.STAR.items()}
-
-
-def _publish_step(spark: SparkSession, root: str, run: str, changed: dict[str, list[str]],
-                  star: dict[str, DataFrame]) -> None:
-    """Rebuild the marts over ``star``, then point ``root`` at the new tables."""
-    written, _ = write_layer(spark, {name: (lambda build=build: build(star))
-                                     for name, build in MARTS.items()}, run, "marts")
-    marts = {f"marts/{name}": [table_path(run, "marts", name)] for name in written}
-    publish_tables(spark, root, run, {**published(spark, root)["tables"], **changed, **marts})
-    publish_marts(star)
-
-
-def apply_batch(spark: SparkSession, root: str, changes: DataFrame) -> None:
-    """Apply a further SCD2 batch to the published customers.
-
-    The new version and the marts are written to a new run folder, checked, and
-    published together; a failing check leaves the published tables as they are.
-    """
-    apply_required_conf(spark)
-    run, star = new_run(root), published_star(spark, root)
-    written, _ = write_layer(spark, {"customer_changes": lambda: changes}, run, "audit")
-    batch = written["customer_changes"]
-    written, _ = write_layer(spark, {"dim_customer_v2": lambda: scd2_apply(
-        star["dim_customer"], batch)}, run, "star")
-    new = written["dim_customer_v2"]
-    failed = failed_batch(star["dim_customer"], new, batch)
-    if failed:
-        raise RuntimeError(f"data-quality checks failed: {', '.join(failed)}")
-    _publish_step(spark, root, run, {
-        "star/dim_customer": [table_path(run, "star", "dim_customer_v2")],
-        "audit/customer_changes": [table_path(run, "audit", "customer_changes")],
-    }, {**star, "dim_customer": new})
-
-
-def append_sales(spark: SparkSession, root: str, items: DataFrame, orders: DataFrame,
-                 returns: DataFrame) -> int:
-    """Append staged sales to the published fact; ``fact_id`` goes on after the
-    largest one.  A line whose keys do not resolve, or that the fact already
-    holds, fails the batch.  Returns the number of rows added."""
-    apply_required_conf(spark)
-    run, star = new_run(root), published_star(spark, root)
-    largest = star["fact_sales"].agg(F.max("fact_id")).first()[0]
-    written, rows = write_layer(spark, {"fact_sales": lambda: fact_sales(
-        items, orders, returns, star["dim_customer"], star["dim_product"], star["dim_store"],
-        star["dim_employee"], fact_id_start=0 if largest is None else largest + 1)}, run, "star")
-    added = written["fact_sales"]
-    lost = items.join(added, "order_item_id", "left_anti").limit(1).count()
-    known = star["fact_sales"].select("order_item_id").join(
-        added.select("order_item_id").distinct(), "order_item_id", "left_semi").limit(1).count()
-    days = added.join(star["dim_date"], "date_key", "left_anti").limit(1).count()
-    if lost or known or days:
-        raise RuntimeError("unresolved lines" if lost else
-                           "lines already loaded" if known else "days outside the calendar")
-    paths = [*published(spark, root)["tables"]["star/fact_sales"],
-             table_path(run, "star", "fact_sales")]
-    fact = star["fact_sales"].unionByName(added)
-    _publish_step(spark, root, run, {"star/fact_sales": paths}, {**star, "fact_sales": fact})
-    return rows["fact_sales"]

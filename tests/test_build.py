@@ -13,7 +13,7 @@ from strataform import schemas
 from strataform.operators.facts import resolve_customer_as_of
 from strataform.operators.scd import scd1_upsert, scd2_apply
 from strataform.operators.staging import extract
-from strataform.plans import warehouse
+from strataform.plans import increments, warehouse
 from strataform.plans.quality import evaluate_checks
 from strataform.sources import driver_tables
 from strataform.sources.io import conform, load_source_tables, read_jdbc, write_bucketed_table
@@ -148,14 +148,14 @@ def test_a_failing_check_leaves_the_published_tables(spark, from_csv, exported):
 
 
 def test_a_replayed_batch_and_appended_sales(spark, from_csv):
-    [customer] = warehouse.published_star(spark, from_csv)["dim_customer"].where(
+    [customer] = increments.published_star(spark, from_csv)["dim_customer"].where(
         "is_current = 1").orderBy("customer_id").limit(1).collect()
-    had = warehouse.published_star(spark, from_csv)["dim_customer"].where(
+    had = increments.published_star(spark, from_csv)["dim_customer"].where(
         F.col("customer_id") == customer.customer_id).count()
     for day, city in ((D(2001, 1, 1), "Here"), (D(2001, 2, 1), "There")):
-        warehouse.apply_batch(spark, from_csv, spark.createDataFrame(
+        increments.apply_batch(spark, from_csv, spark.createDataFrame(
             [(customer.customer_id, day, city)], "customer_id bigint, change_date date, city string"))
-    star = warehouse.published_star(spark, from_csv)
+    star = increments.published_star(spark, from_csv)
     versions = star["dim_customer"].where(
         F.col("customer_id") == customer.customer_id).orderBy("valid_from").collect()
     assert len(versions) == had + 2 and versions[-1].city == "There"
@@ -176,11 +176,11 @@ def test_a_replayed_batch_and_appended_sales(spark, from_csv):
     }
     staged = {n: extract(spark.createDataFrame(r, schemas.SOURCE[n]), n) for n, r in new.items()}
     args = [staged["sales_order_items"], staged["sales_orders"], staged["product_returns"]]
-    assert warehouse.append_sales(spark, from_csv, *args) == 1
-    grown = warehouse.published_star(spark, from_csv)["fact_sales"]
+    assert increments.append_sales(spark, from_csv, *args) == 1
+    grown = increments.published_star(spark, from_csv)["fact_sales"]
     assert grown.count() == rows + 1 and grown.agg(F.max("fact_id")).first()[0] > largest
     with pytest.raises(RuntimeError, match="already loaded"):
-        warehouse.append_sales(spark, from_csv, *args)
+        increments.append_sales(spark, from_csv, *args)
 
 
 def test_one_file_a_bucket(spark, tmp_path):
