@@ -22,10 +22,13 @@ from pyspark.sql import functions as F  # noqa: E402
 import sql_oracle  # noqa: E402
 from strataform import schemas  # noqa: E402
 from strataform.operators.facts import fact_sales  # noqa: E402
+from strataform.operators.late_returns import with_late_returns  # noqa: E402
 from strataform.operators.scd import scd1_upsert, scd2_apply, version_history  # noqa: E402
-from strataform.plans import marts  # noqa: E402
+from strataform.plans import marts, partials  # noqa: E402
 from strataform.plans.quality import fact_orphans, run_checks, side_by_side  # noqa: E402
 from strataform.plans.warehouse import derive_warehouse, row_count_report  # noqa: E402
+from strataform.session import written_once  # noqa: E402
+from strataform.sources.lazy import LazyTables  # noqa: E402
 
 # The training-data operators and the pipeline are optional: without their
 # folders every other query still works.
@@ -162,6 +165,47 @@ def _ordered(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def _two_batches(spark: SparkSession, sf_dir: str):
+    """The fact loaded in two batches of orders, split at the middle date.  All
+    returns come with the second batch; those of first-batch lines are late."""
+    wh = _wh(spark, sf_dir)
+    if "batches" not in wh.kept:
+        stg, star = wh.staging, wh.star
+        orders, returns = stg["stg_sales_orders"], stg["stg_product_returns"]
+        middle = orders.agg(F.percentile_approx("order_date", 0.5)).first()[0]
+
+        def load(batch: DataFrame, known: DataFrame) -> DataFrame:
+            return fact_sales(stg["stg_sales_order_items"], batch, known, star["dim_customer"],
+                              star["dim_product"], star["dim_store"], star["dim_employee"])
+
+        early = F.col("order_date") <= F.lit(middle)
+        tables = LazyTables({
+            "first": lambda: written_once(lambda: with_late_returns(load(
+                orders.where(early), returns.where("false")), returns), spark, "first_batch"),
+            "second": lambda: written_once(lambda: load(orders.where(~early), returns), spark,
+                                           "second_batch"),
+            **{name: (lambda name=name: written_once(lambda: partials.merged(name, [
+                partials.partial_tables(tables[batch], star["dim_customer"])[name]
+                for batch in ("first", "second")]), spark, name)) for name in partials.PARTIALS},
+        })
+        wh.kept["batches"] = tables
+    return wh.kept["batches"], wh.star
+
+
+def q_fact_sales_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact of two batches with late returns; equals one load of everything."""
+    tables, _ = _two_batches(spark, sf_dir)
+    return tables["first"].unionByName(tables["second"]).drop("fact_id")
+
+
+def _mart_two_batches(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    """The mart from the merged partial aggregates of the two batches."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tables, star = _two_batches(spark, sf_dir)
+        return partials.marts_from(tables, star)[name]
+    return run
+
+
 def q_scd1_upsert_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SCD1 batch derived from the data: each store's opening date becomes the
     date of its first sale, and every region gets an online store."""
@@ -205,6 +249,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["mart_customer_cohorts_after_scd2"] = _mart("mart_customer_cohorts", after=True)
     for name in marts.MART_ORDER:
         q[f"{name}_ordered"] = _ordered(name)
+    q["fact_sales_two_batches"] = q_fact_sales_two_batches
+    for name in marts.MARTS:
+        q[f"{name}_two_batches"] = _mart_two_batches(name)
     q["dim_customer_replay"] = q_dim_customer_replay
     q["top_product"] = q_top_product
     q["row_count_report"] = q_row_count_report
@@ -221,6 +268,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     statements = sql_oracle.oracle_statements()
+    # Two batches give what one load gives.
+    for name in ("fact_sales", *marts.MARTS):
+        statements[f"{name}_two_batches"] = statements[name]
     if llm_oracle is not None:
         statements = {**statements, **llm_oracle.oracle_sql()}
         if corpus_pipeline.ORACLE_SQL is not None:

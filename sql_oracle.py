@@ -194,10 +194,10 @@ dim_customer_scd2 AS (
            CAST(c.next_date - 1 AS DATE), CASE WHEN c.next_date IS NULL THEN 1 ELSE 0 END
     FROM change_chain c JOIN latest_version l ON l.customer_id = c.customer_id
 ),
-usable_versions AS (
+usable_versions AS MATERIALIZED (
     SELECT * FROM dim_customer_scd2 WHERE valid_to IS NULL OR valid_to >= valid_from
 ),
-as_of_match AS (
+as_of_match AS MATERIALIZED (
     SELECT h.order_id, h.order_date, v.customer_key, v.valid_to
     FROM order_headers h
     JOIN usable_versions v ON v.customer_id = h.customer_id AND v.valid_from <= h.order_date
@@ -209,7 +209,7 @@ usable_versions_open AS (
                 THEN NULL ELSE v.valid_from END AS start_from
     FROM usable_versions v
 ),
-as_of_open_match AS (
+as_of_open_match AS MATERIALIZED (
     SELECT h.order_id, h.order_date, v.customer_key, v.valid_to
     FROM order_headers h
     JOIN usable_versions_open v

@@ -23,7 +23,7 @@ import threading
 import time
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -65,6 +65,7 @@ class Warehouse:
     star: Mapping[str, DataFrame]         # after the initial load
     star_after: Mapping[str, DataFrame]   # after the change batch
     _changes: Callable[[], DataFrame]
+    kept: dict = field(default_factory=dict)  # what callers derive once and keep
 
     @property
     def changes(self) -> DataFrame:
