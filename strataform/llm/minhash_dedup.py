@@ -8,6 +8,9 @@ bands would take.  Two sets with similarity s miss each other only if fewer than
 two of their half-bands agree; with 14 half-bands of two values that is about
 1 in 5,600 at the threshold of 0.75, and far rarer above it.
 
+A key is formed only of half-bands that another document shares too, which leaves
+out most documents without a near duplicate before any key is written.
+
 Candidates are verified on whole sets:
 
 * documents with one and the same set are one node;
@@ -286,6 +289,18 @@ def _linked(pairs: DataFrame, sets: DataFrame, threshold: tuple[int, int]) -> Da
             .select("a", "b"))
 
 
+def _shared_halves(nodes: DataFrame) -> DataFrame:
+    """(node, shared): bit i is set if another node has the same half-band i.  Two
+    nodes share a key only if they share both of its halves, so only keys of
+    shared halves are formed; most nodes have none."""
+    each = nodes.select("node", F.posexplode("halves").alias("i", "value"))
+    each = each.select("node", "i", F.xxhash64("i", "value").alias("half"))
+    shared = each.groupBy("half").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("half")
+    return each.join(shared, "half", "left_semi").groupBy("node").agg(
+        F.expr("bit_or(shiftleft(1, i))").alias("shared")).where(
+        F.bit_count("shared") > 1)
+
+
 def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD,
                     halves: int = HALVES, width: int = HALF_WIDTH,
                     shingle_words: int = SHINGLE_WORDS, id_col: str = "doc_id",
@@ -302,10 +317,13 @@ def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD,
             F.min("doc_id").alias("doc_id"))
         .withColumn("node", F.monotonically_increasing_id()), "nodes")
     tables = list(combinations(range(halves), 2))
-    keys = F.explode(F.array(*[
-        F.xxhash64(F.lit(t), F.col("halves")[i], F.col("halves")[j])
-        for t, (i, j) in enumerate(tables)]))
-    keyed = nodes.select(keys.alias("key"), "node", "n")
+    mask = _shared_halves(nodes)
+    keys = F.explode(F.filter(F.array(*[
+        F.when(F.col("shared").bitwiseAND((1 << i) | (1 << j)) == (1 << i) | (1 << j),
+               F.xxhash64(F.lit(t), F.col("halves")[i], F.col("halves")[j]))
+        for t, (i, j) in enumerate(tables)]), lambda key: key.isNotNull()))
+    keyed = scratch_table(nodes.select("node", "n", "halves").join(mask, "node").select(
+        keys.alias("key"), "node", "n"), "keys")
     first = keyed.groupBy("key").agg(
         F.min("node").alias("pivot"), F.count(F.lit(1)).alias("members")).where("members > 1")
     members = scratch_table(
