@@ -23,34 +23,42 @@ from strataform.llm.common import read_table, scratch_table, ship_package
 ORACLE_SQL = None
 
 
+def _ready(spark: SparkSession) -> None:
+    """The package on the executors, and smaller batches for Python: a batch of
+    10,000 long texts on both sides of a worker is what a stage needs most memory
+    for."""
+    ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the documents' own labels define."""
-    ship_package(spark)
+    _ready(spark)
     return language_id.keep_identified(docs, F.lit(True))
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents not predicted toxic by a chain learned from the labelled ones."""
-    ship_package(spark)
+    _ready(spark)
     chain = toxicity.toxicity_chain(docs, read_table(spark, sf_dir, "labels"))
     return toxicity.keep_clean(docs, chain)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
-    ship_package(spark)
+    _ready(spark)
     return exact_dedup.keep_first(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
-    ship_package(spark)
+    _ready(spark)
     return minhash_dedup.keep_one(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all remaining documents in sequences of at most 4096 ids."""
-    ship_package(spark)
+    _ready(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
