@@ -77,5 +77,5 @@ def test_stages_take_edge_rows_and_no_rows(spark, edge_docs, no_docs):
 def test_registered():
     names = set(__spark_entry__.queries())
     assert set(queries.queries()) | {"pipeline"} <= names
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in queries.queries()}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in queries.queries()}
     assert set(oracle.oracle_sql()) <= set(__spark_entry__.oracle_sql())
