@@ -14,6 +14,11 @@ scans the whole fact but for the ids and dates of its lines, which decide whethe
 a line is loaded already and where a late return belongs.  The first batch on a
 warehouse that ``run_build`` wrote deals its fact by month once.
 
+``apply_batch`` keeps the customers in folders by a hash of their id
+(``operators.scd_folders``): a batch of changes reads and replaces the folders of
+the customers it names, and no others.  The first such batch deals them once, into
+``spark.strataform.key_folders`` folders (64 unless set).
+
 Every batch adds to the published staging and writes its own audit: steps, checks
 and row counts.  Everything is published as one version; a batch that fails, or
 that started from a version another writer has followed already, changes nothing
@@ -33,9 +38,10 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..operators.facts import fact_sales
 from ..operators.late_returns import returns_per_line, with_late_returns
-from ..operators.scd import scd2_apply
+from ..operators.scd_folders import apply_to_folders, deal_dimension, reopened
 from ..session import apply_required_conf, local_table, scratch_scope
 from ..sources.io import table_path, write_table
+from ..sources.key_folders import dealt_into, split_folders
 from ..sources.published import (folders_of, folders_outside, month_of, new_run, publish_tables,
                                  published, read_folders, write_months)
 from .marts import MARTS, publish_marts
@@ -55,6 +61,7 @@ class Batch:
         self.spark, self.root, self.run = spark, root, new_run(root)
         self.base = published(spark, root)
         self.tables: dict[str, list[str]] = dict(self.base["tables"])
+        self.state: dict[str, int] = dict(self.base.get("state", {}))
         self.steps: list[tuple] = []
         self.checks: list[tuple] = []
 
@@ -101,7 +108,8 @@ class Batch:
             raise RuntimeError(f"data-quality checks failed: {', '.join(failed)}")
         for name in ("steps", "checks", "row_counts"):
             self.tables[f"audit/{name}"] = [self.path("audit", name)]
-        publish_tables(spark, self.root, self.run, self.tables, after=self.base["version"])
+        publish_tables(spark, self.root, self.run, self.tables, after=self.base["version"],
+                       state=self.state)
         publish_marts(self.star())
 
 
@@ -161,28 +169,47 @@ def _deal_by_month(batch: Batch) -> None:
             "partials_of_load"))
 
 
+def _dealt_customers(batch: Batch):
+    """The customers in key folders; dealt now if no batch has done so yet."""
+    folders = batch.tables["star/dim_customer"]
+    if dealt_into(folders) is None:
+        number = int(batch.spark.conf.get("spark.strataform.key_folders", "64"))
+        with batch.step("deal", "deal the customers into key folders", "star") as rows:
+            dealt = deal_dimension(batch.star()["dim_customer"],
+                                   batch.path("star", "dim_customer_dealt"), folders=number)
+            rows.append(batch.spark.read.schema(schemas.STAR["dim_customer"]).parquet(
+                *dealt.paths).count())
+        batch.tables["star/dim_customer"] = dealt.paths
+        return dealt
+    return reopened(folders, batch.state["max_customer_key"])
+
+
 def apply_batch(spark: SparkSession, root: str, changes: DataFrame) -> None:
     """Apply a further SCD2 batch to the published customers.
 
-    The new version and the marts are written to a new run folder, checked, and
-    published together; the batch is added to the log of changes.
+    The folders of the changed customers and the marts are written to a new run
+    folder, checked, and published together; the batch is added to the log of
+    changes.
     """
+    schema = schemas.STAR["dim_customer"]
     with scratch_scope(spark):
         batch = Batch(spark, root)
-        star = batch.star()
+        dealt = _dealt_customers(batch)
         with batch.step("changes", "log the changes", "audit") as rows:
             logged, n = write_layer(spark, {"customer_changes": lambda: changes}, batch.run, "audit")
             rows.extend(n.values())
-        with batch.step("scd2", "apply the changes", "star") as rows:
-            written, n = write_layer(spark, {"dim_customer_v2": lambda: scd2_apply(
-                star["dim_customer"], logged["customer_changes"])}, batch.run, "star")
-            rows.extend(n.values())
-        failed = failed_batch(star["dim_customer"], written["dim_customer_v2"],
-                              logged["customer_changes"])
+        log = logged["customer_changes"]
+        with batch.step("scd2", "apply the changes to the folders they touch", "star") as rows:
+            after = apply_to_folders(spark, dealt, log, batch.path("star", "dim_customer"), schema)
+            old, _ = split_folders(dealt.paths, set(after.touched))
+            written = read_folders(spark, list(after.written), schema)
+            rows.append(written.count())
+        failed = failed_batch(read_folders(spark, old, schema), written, log)
         batch.check("B10", "customer versions follow the changes", len(failed))
         if failed:
             raise RuntimeError(f"data-quality checks failed: {', '.join(failed)}")
-        batch.tables["star/dim_customer"] = [batch.path("star", "dim_customer_v2")]
+        batch.tables["star/dim_customer"] = after.paths
+        batch.state["max_customer_key"] = after.max_key
         batch.tables["audit/customer_changes"] = [*batch.tables["audit/customer_changes"],
                                                   batch.path("audit", "customer_changes")]
         _write_marts(batch)

@@ -52,16 +52,18 @@ def last_version(spark: SparkSession, root: str) -> int:
 
 
 def publish_tables(spark: SparkSession, root: str, run: str, tables: dict[str, list[str]],
-                   after: int | None = None) -> int:
+                   after: int | None = None, state: dict[str, int] | None = None) -> int:
     """Publish ``tables`` (``layer/table`` -> folders) as the version that follows
-    ``after`` (the last one if not given); its number."""
+    ``after`` (the last one if not given); its number.  ``state`` holds numbers that
+    later batches go on from."""
     number = (last_version(spark, root) if after is None else after) + 1
     hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
     target = hadoop.Path(f"{root.rstrip('/')}/{FOLDER}/{number:012d}.json")
     fs = target.getFileSystem(conf)
     target = fs.makeQualified(target)
     written = hadoop.Path(target.getParent(), f"_{uuid.uuid4().hex}")
-    text = json.dumps({"run": run, "tables": tables, "version": number}, indent=1, sort_keys=True)
+    text = json.dumps({"run": run, "tables": tables, "version": number,
+                       "state": state or {}}, indent=1, sort_keys=True)
     out = fs.create(written, False)
     out.write(bytearray(text.encode()))
     out.close()
@@ -79,8 +81,8 @@ def publish_tables(spark: SparkSession, root: str, run: str, tables: dict[str, l
 
 
 def published(spark: SparkSession, root: str) -> dict:
-    """``{"run": folder, "tables": {"layer/table": [folders]}, "version": n}`` of
-    the last published version."""
+    """``{"run": folder, "tables": {"layer/table": [folders]}, "version": n,
+    "state": {name: number}}`` of the last published version."""
     number = last_version(spark, root)
     if not number:
         raise FileNotFoundError(f"nothing is published under {root}")
