@@ -21,13 +21,16 @@ from pyspark.sql import functions as F  # noqa: E402
 
 import sql_oracle  # noqa: E402
 from strataform import schemas  # noqa: E402
+from strataform.operators.change_set import apply_snapshot, snapshot_changes  # noqa: E402
+from strataform.operators.dimensions import dim_customer_initial  # noqa: E402
 from strataform.operators.facts import fact_sales  # noqa: E402
 from strataform.operators.late_returns import with_late_returns  # noqa: E402
 from strataform.operators.scd import scd1_upsert, scd2_apply, version_history  # noqa: E402
+from strataform.operators.scd_folders import apply_to_folders, deal_dimension  # noqa: E402
 from strataform.plans import marts, partials  # noqa: E402
 from strataform.plans.quality import fact_orphans, run_checks, side_by_side  # noqa: E402
 from strataform.plans.warehouse import derive_warehouse, row_count_report  # noqa: E402
-from strataform.session import written_once  # noqa: E402
+from strataform.session import scratch_path, written_once  # noqa: E402
 from strataform.sources.lazy import LazyTables  # noqa: E402
 
 # The training-data operators and the pipeline are optional: without their
@@ -141,18 +144,70 @@ def q_dq_multiple_current(spark: SparkSession, sf_dir: str) -> DataFrame:
             .where(F.col("current_versions") > 1))
 
 
-def q_dim_customer_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The initial customers after a batch with several changes a customer: in
-    every year with orders, the customer moves to the city of the store of the
+def _yearly_moves(wh) -> DataFrame:
+    """In every year with orders, a customer moves to the city of the store of the
     year's last order, on its date."""
-    wh = _wh(spark, sf_dir)
     orders = wh.staging["stg_sales_orders"].where("customer_id is not null")
     last = orders.groupBy("customer_id", F.year("order_date").alias("y")).agg(
         F.max_by(F.struct("order_date", "store_id"), F.struct("order_date", "order_id")).alias("o"))
     moves = last.select("customer_id", F.col("o.order_date").alias("change_date"),
-                        F.col("o.store_id").alias("store_id")).join(
-        wh.staging["stg_stores"].select("store_id", "city"), "store_id")
-    return scd2_apply(wh.star["dim_customer"], moves.select("customer_id", "change_date", "city"))
+                        F.col("o.store_id").alias("store_id"))
+    return moves.join(wh.staging["stg_stores"].select("store_id", "city"), "store_id").select(
+        "customer_id", "change_date", "city")
+
+
+def q_dim_customer_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The initial customers after a batch with several changes a customer: the
+    yearly moves."""
+    wh = _wh(spark, sf_dir)
+    return scd2_apply(wh.star["dim_customer"], _yearly_moves(wh))
+
+
+def q_dim_customer_key_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customers dealt into key folders, after two batches that replace the
+    folders they touch: the yearly moves before the last year with orders, then
+    those of the last year."""
+    wh = _wh(spark, sf_dir)
+    schema = schemas.STAR["dim_customer"]
+
+    def build() -> DataFrame:
+        moves = _yearly_moves(wh)
+        last = wh.staging["stg_sales_orders"].agg(F.max(F.year("order_date"))).first()[0]
+        in_last = F.year("change_date") == F.lit(last)
+        dealt = deal_dimension(wh.star["dim_customer"], scratch_path(spark, "dealt"), folders=16)
+        for batch in (moves.where(~in_last), moves.where(in_last)):
+            dealt = apply_to_folders(spark, dealt, batch, scratch_path(spark, "batch"), schema)
+        return dealt.read(spark, schema)
+
+    return written_once(build, spark, "key_folders")
+
+
+def _two_extracts(spark: SparkSession, sf_dir: str):
+    """Customers on file (signed up by September), a later extract of the customers
+    that order, with the cities they live in then, and the day of that extract."""
+    wh = _wh(spark, sf_dir)
+    customers, orders = wh.staging["stg_customers"], wh.staging["stg_sales_orders"]
+    columns = ["customer_id", "full_name", "city", "loyalty_member", "signup_date"]
+    moved = wh.changes.select("customer_id", F.col("city").alias("new_city"))
+    later = customers.join(orders.select("customer_id").distinct(), "customer_id", "left_semi").join(
+        moved, "customer_id", "left").withColumn("city", F.coalesce("new_city", "city"))
+    on = orders.agg(F.date_add(F.max("order_date"), 1)).first()[0]
+    return customers.where(F.month("signup_date") <= 9), later.select(*columns), on
+
+
+def q_customer_change_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inserts, updates and deletes between two extracts of the customers."""
+    before, after, _ = _two_extracts(spark, sf_dir)
+    found = snapshot_changes(before, after, "customer_id",
+                             ["full_name", "city", "loyalty_member", "signup_date"])
+    return found.withColumn("changed", F.array_join("changed", ","))
+
+
+def q_dim_customer_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customers on file brought to the state of the later extract."""
+    before, after, on = _two_extracts(spark, sf_dir)
+    return written_once(lambda: apply_snapshot(dim_customer_initial(before), after, on), spark,
+                        "snapshot")
 
 
 def _ordered(name: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -250,6 +305,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     for name in marts.MARTS:
         q[f"{name}_two_batches"] = _mart_two_batches(name)
     q["dim_customer_replay"] = q_dim_customer_replay
+    q["dim_customer_key_folders"] = q_dim_customer_key_folders
+    q["customer_change_set"] = q_customer_change_set
+    q["dim_customer_snapshot"] = q_dim_customer_snapshot
     q["top_product"] = q_top_product
     q["row_count_report"] = q_row_count_report
     q["dq_checks"] = q_dq_checks

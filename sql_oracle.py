@@ -536,16 +536,7 @@ SELECT (SELECT max(store_key) FROM dim_store) + row_number() OVER (ORDER BY max(
 FROM stg_stores s JOIN stg_sales_orders o ON o.store_id = s.store_id
 GROUP BY s.region""")
     # One event after the other: each closes the version before it.
-    out["dim_customer_replay"] = _with("""
-SELECT CASE WHEN step = 0 THEN customer_key ELSE
-         (SELECT max(customer_key) FROM dim_customer_initial)
-         + row_number() OVER (PARTITION BY step > 0 ORDER BY customer_id, step) END AS customer_key,
-       customer_id, full_name, city, loyalty_member, signup_date, valid_from,
-       CAST((SELECT n.valid_from FROM replay n
-             WHERE n.customer_id = r.customer_id AND n.step = r.step + 1) - 1 AS DATE) AS valid_to,
-       CASE WHEN EXISTS (SELECT 1 FROM replay n WHERE n.customer_id = r.customer_id
-                         AND n.step = r.step + 1) THEN 0 ELSE 1 END AS is_current
-FROM replay r""", extra="""
+    events = """
 events AS (
     SELECT o.customer_id, o.order_date AS change_date, s.city,
            row_number() OVER (PARTITION BY o.customer_id ORDER BY o.order_date) AS step
@@ -563,7 +554,55 @@ replay AS (
     SELECT r.customer_key, r.customer_id, r.full_name, e.city, r.loyalty_member, r.signup_date,
            e.change_date, e.step
     FROM replay r JOIN events e ON e.customer_id = r.customer_id AND e.step = r.step + 1
-)""")
+)"""
+    versions = """
+SELECT CASE WHEN step = 0 THEN customer_key ELSE
+         (SELECT max(customer_key) FROM dim_customer_initial)
+         + row_number() OVER (PARTITION BY step > 0 ORDER BY {order}customer_id, step) END AS customer_key,
+       customer_id, full_name, city, loyalty_member, signup_date, valid_from,
+       CAST((SELECT n.valid_from FROM replay n
+             WHERE n.customer_id = r.customer_id AND n.step = r.step + 1) - 1 AS DATE) AS valid_to,
+       CASE WHEN EXISTS (SELECT 1 FROM replay n WHERE n.customer_id = r.customer_id
+                         AND n.step = r.step + 1) THEN 0 ELSE 1 END AS is_current
+FROM replay r"""
+    out["dim_customer_replay"] = _with(versions.format(order=""), extra=events)
+    # The same versions; the last year's batch comes second, so its keys do too.
+    last_year = "year(valid_from) = (SELECT max(year(order_date)) FROM stg_sales_orders), "
+    out["dim_customer_key_folders"] = _with(versions.format(order=last_year), extra=events)
+    extracts = """
+extract_day AS (SELECT CAST(max(order_date) + 1 AS DATE) AS d FROM stg_sales_orders),
+on_file AS (SELECT * FROM stg_customers WHERE month(signup_date) <= 9),
+later AS (
+    SELECT c.customer_id, c.full_name, coalesce(m.city, c.city) AS city, c.loyalty_member, c.signup_date
+    FROM stg_customers c LEFT JOIN customer_changes m ON m.customer_id = c.customer_id
+    WHERE c.customer_id IN (SELECT customer_id FROM stg_sales_orders)
+)"""
+    out["customer_change_set"] = _with("""
+SELECT l.customer_id, 'insert' AS change, l.full_name, l.city, l.loyalty_member, l.signup_date,
+       '' AS changed
+FROM later l WHERE NOT EXISTS (SELECT 1 FROM on_file o WHERE o.customer_id = l.customer_id)
+UNION ALL
+SELECT o.customer_id, 'delete', o.full_name, o.city, o.loyalty_member, o.signup_date, ''
+FROM on_file o WHERE NOT EXISTS (SELECT 1 FROM later l WHERE l.customer_id = o.customer_id)
+UNION ALL
+SELECT l.customer_id, 'update', l.full_name, l.city, l.loyalty_member, l.signup_date, 'city'
+FROM later l JOIN on_file o ON o.customer_id = l.customer_id
+WHERE l.city IS DISTINCT FROM o.city""", extra=extracts)
+    out["dim_customer_snapshot"] = _with("""
+SELECT CAST(b.customer_key AS BIGINT) AS customer_key, b.customer_id, b.full_name, b.city, b.loyalty_member,
+       b.signup_date, b.signup_date AS valid_from,
+       CAST(CASE WHEN l.customer_id IS NULL OR l.city IS DISTINCT FROM b.city
+                 THEN (SELECT d FROM extract_day) - 1 END AS DATE) AS valid_to,
+       CASE WHEN l.customer_id IS NULL OR l.city IS DISTINCT FROM b.city THEN 0 ELSE 1 END AS is_current
+FROM (SELECT *, row_number() OVER (ORDER BY customer_id) AS customer_key FROM on_file) b
+LEFT JOIN later l ON l.customer_id = b.customer_id
+UNION ALL
+SELECT (SELECT count(*) FROM on_file) + row_number() OVER (ORDER BY added DESC, customer_id),
+       customer_id, full_name, city, loyalty_member, signup_date,
+       CASE WHEN added THEN signup_date ELSE (SELECT d FROM extract_day) END, NULL, 1
+FROM (SELECT l.*, o.customer_id IS NULL AS added
+      FROM later l LEFT JOIN on_file o ON o.customer_id = l.customer_id
+      WHERE o.customer_id IS NULL OR l.city IS DISTINCT FROM o.city) n""", extra=extracts)
     orders = {
         "mart_monthly_revenue": "year, month_number",
         "mart_customer_cohorts": "cohort_month, order_year, order_month",

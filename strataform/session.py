@@ -116,6 +116,14 @@ def local_table(spark: SparkSession, rows: list[tuple], schema) -> DataFrame:
     return spark.createDataFrame(pd.DataFrame.from_records(rows, columns=names), schema)
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path under the checkpoint folder, removed with the scopes it is in."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    for scope in getattr(_SCOPES, "open", []):
+        scope.append(path)
+    return path
+
+
 def scratch_table(df: DataFrame, label: str) -> DataFrame:
     """Cut lineage: write ``df`` as Parquet under the checkpoint folder and
     read it back.
@@ -124,9 +132,7 @@ def scratch_table(df: DataFrame, label: str) -> DataFrame:
     executors, and the planner sees real file sizes for later join choices.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    for scope in getattr(_SCOPES, "open", []):
-        scope.append(path)
+    path = scratch_path(spark, label)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
