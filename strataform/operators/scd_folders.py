@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from ..sources.key_folders import (dealt_into, split_folders, touched_folders, write_key_folders)
 from ..sources.published import read_folders
+from .constraints import write_checked
 from .scd import scd2_apply
 
 
@@ -67,7 +68,8 @@ def apply_to_folders(spark: SparkSession, dealt: DealtDimension, changes: DataFr
         return DealtDimension(dealt.paths, dealt.folders, dealt.max_key)
     after = scd2_apply(read_folders(spark, old, schema), changes, natural_key=natural_key,
                        surrogate_key=surrogate_key, max_key=dealt.max_key, **options)
-    written = write_key_folders(after, path, natural_key, dealt.folders, apart)
+    written = write_checked(after, "changed dimension", schema, lambda df: write_key_folders(
+        df, path, natural_key, dealt.folders, apart))
     last = read_folders(spark, written, schema).agg(F.max(surrogate_key)).first()[0]
     return DealtDimension([*kept, *written], dealt.folders, max(dealt.max_key, int(last or 0)),
                           frozenset(touched), tuple(written))

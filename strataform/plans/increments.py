@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from ..operators.constraints import write_checked
 from ..operators.facts import fact_sales
 from ..operators.late_returns import returns_per_line, with_late_returns
 from ..operators.scd_folders import apply_to_folders, deal_dimension, reopened
@@ -246,10 +247,11 @@ def _append(batch: Batch, staged: Mapping[str, DataFrame]) -> int:
     largest = old.agg(F.max("fact_id")).first()[0]
     schema = schemas.STAR["fact_sales"]
     with batch.step("fact", "load the new lines", "star") as rows:
-        new_folders = write_months(fact_sales(
+        lines = fact_sales(
             items, orders, returns, star["dim_customer"], star["dim_product"], star["dim_store"],
-            star["dim_employee"], fact_id_start=0 if largest is None else largest + 1),
-            batch.path("star", "fact_sales"), sales_month())
+            star["dim_employee"], fact_id_start=0 if largest is None else largest + 1)
+        new_folders = write_checked(lines, "fact_sales", schema, lambda df: write_months(
+            df, batch.path("star", "fact_sales"), sales_month()))
         added = read_folders(spark, new_folders, schema)
         n_added, last = added.agg(F.count(F.lit(1)), F.max("fact_id")).first()
         rows.append(n_added)
@@ -278,8 +280,9 @@ def _append(batch: Batch, staged: Mapping[str, DataFrame]) -> int:
         with batch.step("returns", "mark returned lines of earlier batches", "star") as rows:
             before = read_folders(spark, folders_of(old_folders, rewritten), schema)
             start = max(x for x in (last, largest, -1) if x is not None) + 1
-            marked_folders = write_months(with_late_returns(before, late, start),
-                                          batch.path("star", "fact_returned"), sales_month())
+            marked_folders = write_checked(
+                with_late_returns(before, late, start), "fact_sales", schema,
+                lambda df: write_months(df, batch.path("star", "fact_returned"), sales_month()))
             rows.append(read_folders(spark, marked_folders, schema).count())
     batch.tables["star/fact_sales"] = [*folders_outside(old_folders, rewritten), *marked_folders,
                                        *new_folders]

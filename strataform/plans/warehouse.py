@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..operators import dimensions as dims
+from ..operators.constraints import fingerprint, raise_violations, rule_counts
 from ..operators.facts import fact_sales
 from ..operators.scd import scd2_apply
 from ..operators.staging import extract
@@ -210,10 +211,15 @@ def build_database(spark: SparkSession, root: str) -> str:
     return name
 
 
+def _source_fields(staged: str) -> list[T.StructField]:
+    """The columns a staged table has from its source table."""
+    return schemas.SOURCE[staged[len("stg_"):]].fields
+
+
 def write_layer(spark: SparkSession, builders: dict[str, Builder], root: str, layer: str,
                 parallel: bool = True, bucketed: dict[str, str] | None = None,
-                max_keys: dict[str, int] | None = None
-                ) -> tuple[dict[str, DataFrame], dict[str, int]]:
+                max_keys: dict[str, int] | None = None,
+                contents: dict[str, object] | None = None) -> tuple[dict[str, DataFrame], dict[str, int]]:
     """Build and write each table of a layer; return the written tables (read
     back by their declared schema) and their row counts.
 
@@ -222,7 +228,9 @@ def write_layer(spark: SparkSession, builders: dict[str, Builder], root: str, la
     cluster instead of queueing one after another.  Row counts come from an
     ``Observation`` on the write itself, not from a second job; for star
     tables the largest surrogate key is observed too and stored in
-    ``max_keys`` when given.
+    ``max_keys`` when given.  The same pass counts rows that break the declared
+    constraints of the table; any such row fails the layer.  With ``contents``
+    given, staged tables get their fingerprint over the source columns there.
     """
     bucketed = bucketed or {}
     buckets = int(spark.conf.get("spark.strataform.buckets",
@@ -243,6 +251,10 @@ def write_layer(spark: SparkSession, builders: dict[str, Builder], root: str, la
         metrics = [F.count(F.lit(1)).alias("rows")]
         if key is not None and key in df.columns:
             metrics.append(F.max(key).alias("max_key"))
+        if declared_as in schemas.ALL:
+            metrics.extend(rule_counts(schemas.ALL[declared_as]))
+        if contents is not None and name in schemas.STAGING:
+            metrics.append(fingerprint(_source_fields(name)).alias("contents"))
         df = df.observe(obs, *metrics)
         if name in bucketed:
             table = f"{database}.{name}"
@@ -256,6 +268,9 @@ def write_layer(spark: SparkSession, builders: dict[str, Builder], root: str, la
             if declared is not None:
                 written = conform(written, declared)
         observed = obs.get
+        raise_violations(name, observed)
+        if contents is not None and "contents" in observed:
+            contents[name] = observed["contents"]
         if max_keys is not None and observed.get("max_key") is not None:
             max_keys[name] = int(observed["max_key"])
         return name, written, int(observed["rows"])
@@ -308,14 +323,21 @@ def _build(spark: SparkSession, sf_dir: str | None, root: str, out_root: str,
     def step_extract():
         src = state["source"]
         # Rows read from each source table are observed in the same job that
-        # writes its staging copy (checks Q01-Q03 compare the two counts).
+        # writes its staging copy (checks Q01-Q03 compare the two counts), and so
+        # are fingerprints of their contents.
         names = list(schemas.SOURCE)
         read_obs = {name: Observation(f"source.{name}") for name in names}
         builders = {f"stg_{name}": (lambda name=name: extract(
-            src[name].observe(read_obs[name], F.count(F.lit(1)).alias("n")), name))
+            src[name].observe(read_obs[name], F.count(F.lit(1)).alias("n"),
+                              fingerprint(schemas.SOURCE[name].fields).alias("contents")), name))
             for name in names}
+        contents: dict[str, object] = {}
         state["staging"], rows = write_layer(spark, builders, out_root, "staging",
-                                             bucketed=BUCKETED)
+                                             bucketed=BUCKETED, contents=contents)
+        differing = [name for name in names
+                     if contents[f"stg_{name}"] != read_obs[name].get["contents"]]
+        if differing:
+            raise RuntimeError(f"staging differs from the source: {', '.join(differing)}")
         for name, short in (("sales_orders", "src_orders"), ("sales_order_items", "src_items"),
                             ("customers", "src_customers")):
             known[f"{short}.n"] = read_obs[name].get["n"]

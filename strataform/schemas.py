@@ -48,6 +48,16 @@ SOURCE = {
                                ("return_date", DATE, False), ("reason", STR, True)),
 }
 
+# Declared lengths of text columns, in characters, by column name.
+TEXT_LENGTHS = {
+    "store_name": 100, "city": 80, "region": 50, "full_name": 100, "role": 50,
+    "category_name": 80, "product_name": 120, "payment_method": 30, "reason": 100,
+    "day_of_week": 10, "month_name": 10, "_source_table": 50,
+}
+
+# Columns that hold 0 or 1.
+FLAGS = {"loyalty_member", "is_weekend", "is_current", "is_returned"}
+
 # Primary keys of the source tables (enforced as checks, not by storage).
 SOURCE_KEYS = {
     "stores": ["store_id"], "employees": ["employee_id"], "categories": ["category_id"],
