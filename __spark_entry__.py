@@ -27,6 +27,7 @@ from strataform.operators.facts import fact_sales  # noqa: E402
 from strataform.operators.late_returns import with_late_returns  # noqa: E402
 from strataform.operators.scd import scd1_upsert, scd2_apply, version_history  # noqa: E402
 from strataform.operators.scd_folders import apply_to_folders, deal_dimension  # noqa: E402
+from strataform.operators.text_equality import one_spelling  # noqa: E402
 from strataform.plans import marts, partials  # noqa: E402
 from strataform.plans.quality import fact_orphans, run_checks, side_by_side  # noqa: E402
 from strataform.plans.warehouse import derive_warehouse, row_count_report  # noqa: E402
@@ -210,6 +211,25 @@ def q_dim_customer_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "snapshot")
 
 
+def _spelled(wh) -> DataFrame:
+    """Customers whose city is not spelled alike everywhere."""
+    dim = wh.star["dim_customer"]
+    return dim.withColumn("city", F.when(F.col("loyalty_member") == 1, F.lower("city"))
+                          .otherwise(F.col("city")))
+
+
+def q_geography_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The geography mart with every spelling of a city apart (bytes compared)."""
+    wh = _wh(spark, sf_dir)
+    return marts.mart_customer_geography({**wh.star, "dim_customer": _spelled(wh)})
+
+
+def q_geography_any_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The geography mart with cities equal that differ in case or accents only."""
+    wh = _wh(spark, sf_dir)
+    return marts.mart_customer_geography({**wh.star, "dim_customer": one_spelling(_spelled(wh), ["city"])})
+
+
 def _ordered(name: str) -> Callable[[SparkSession, str], DataFrame]:
     """The published mart read in its documented order, with the place in it."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -308,6 +328,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["dim_customer_key_folders"] = q_dim_customer_key_folders
     q["customer_change_set"] = q_customer_change_set
     q["dim_customer_snapshot"] = q_dim_customer_snapshot
+    q["mart_customer_geography_spellings"] = q_geography_spellings
+    q["mart_customer_geography_any_case"] = q_geography_any_case
     q["top_product"] = q_top_product
     q["row_count_report"] = q_row_count_report
     q["dq_checks"] = q_dq_checks

@@ -603,6 +603,21 @@ SELECT (SELECT count(*) FROM on_file) + row_number() OVER (ORDER BY added DESC,
 FROM (SELECT l.*, o.customer_id IS NULL AS added
       FROM later l LEFT JOIN on_file o ON o.customer_id = l.customer_id
       WHERE o.customer_id IS NULL OR l.city IS DISTINCT FROM o.city) n""", extra=extracts)
+    # Members' cities in lower case: apart by bytes, together by letters.
+    spelled = """
+dim_customer_spelled AS (
+    SELECT * REPLACE (CASE WHEN loyalty_member = 1 THEN lower(city) ELSE city END AS city)
+    FROM dim_customer_initial
+)"""
+    merged = spelled + """,
+dim_customer_merged AS (
+    SELECT * REPLACE (min(city) OVER (PARTITION BY lower(strip_accents(city))) AS city)
+    FROM dim_customer_spelled
+)"""
+    out["mart_customer_geography_spellings"] = _with(
+        _marts("dim_customer_spelled")["mart_customer_geography"], extra=spelled)
+    out["mart_customer_geography_any_case"] = _with(
+        _marts("dim_customer_merged")["mart_customer_geography"], extra=merged)
     orders = {
         "mart_monthly_revenue": "year, month_number",
         "mart_customer_cohorts": "cohort_month, order_year, order_month",
