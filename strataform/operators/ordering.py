@@ -172,18 +172,28 @@ def next_key_start(df: DataFrame, key: str) -> int:
 
 def global_rank(df: DataFrame, value: str, name: str = "rank", descending: bool = True,
                 tie_breakers: Sequence[str] = ()) -> DataFrame:
-    """SQL ``RANK() OVER (ORDER BY value)`` without a single-partition window.
+    """SQL ``RANK() OVER (ORDER BY value)`` without a single-partition window."""
+    return rank_in_order(df, [f"-{value}" if descending else value], name, tie_breakers)
+
+
+def rank_in_order(df: DataFrame, order: Sequence[str], name: str = "rank",
+                  tie_breakers: Sequence[str] = ()) -> DataFrame:
+    """SQL ``RANK()`` over several columns (``-`` marks a descending one; nulls first
+    in ascending, last in descending columns) without a single-partition window.
 
     rank = first position of the row's tie group.  Tie groups are reduced with
-    a map-side ``min`` and joined back on the (null-safe) value; a hot tie value
+    a map-side ``min`` and joined back on the (null-safe) values; a hot tie value
     is split by adaptive skew-join handling, not gathered.
     """
-    order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_first()
+    values = [c.lstrip("-") for c in order]
+    sort = [F.col(v).desc_nulls_last() if c.startswith("-") else F.col(v).asc_nulls_first()
+            for c, v in zip(order, values)]
     pos_col = "_sf_rank_pos"
-    positioned = with_position(df, [order, *tie_breakers], pos_col)
-    firsts = positioned.groupBy(F.col(value).alias("_sf_rank_v")).agg(
+    positioned = with_position(df, [*sort, *tie_breakers], pos_col)
+    firsts = positioned.groupBy(*[F.col(v).alias(f"_sf_rank_{i}") for i, v in enumerate(values)]).agg(
         F.min(pos_col).alias(name))
-    joined = positioned.join(firsts, positioned[value].eqNullSafe(firsts["_sf_rank_v"]))
+    joined = positioned.join(firsts, [positioned[v].eqNullSafe(firsts[f"_sf_rank_{i}"])
+                                      for i, v in enumerate(values)])
     return joined.select(*df.columns, F.col(name))
 
 

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import month_bucket
 from ..functions.money import money_sum, percent
+from ..operators.ordering import rank_in_order
 from ..sources.io import publish
 
 # Documented read order of each mart ("-" marks a descending column).
@@ -148,11 +149,12 @@ def publish_marts(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 def ordered_mart(star: dict[str, DataFrame], name: str) -> DataFrame:
     """The published mart read back in its documented order, with the row's
-    place in it (``position``, rows of equal order share one)."""
-    publish(MARTS[name](star), name)
-    cols = [F.desc(c[1:]) if c.startswith("-") else F.col(c) for c in MART_ORDER[name]]
-    place = F.rank().over(Window.orderBy(*cols)).cast("bigint")
-    return read_mart(star["fact_sales"].sparkSession, name).withColumn("position", place)
+    place in it (``position``, rows of equal order share one).  Rows are placed by
+    ranges of the order, not in one task; ties are dealt by the other columns."""
+    mart = publish(MARTS[name](star), name)
+    order = MART_ORDER[name]
+    others = [c for c in mart.columns if c not in {o.lstrip("-") for o in order}]
+    return rank_in_order(mart, order, "position", others).orderBy("position")
 
 
 def read_mart(spark: SparkSession, name: str) -> DataFrame:

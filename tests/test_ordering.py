@@ -4,11 +4,12 @@ import random
 
 import pandas as pd
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from strataform.operators.ordering import (assign_keys, global_rank, lag_within, latest_per_key,
-                                           lead_within, prefix_sum, row_number_within,
-                                           with_position)
+                                           lead_within, prefix_sum, rank_in_order,
+                                           row_number_within, with_position)
 
 
 def _frame(spark, rows, schema):
@@ -128,3 +129,13 @@ def test_positions_and_prefix_sums_across_many_ranges(spark, many_small_partitio
     run = prefix_sum(df, ["k", "i"], "w", "run").toPandas().sort_values(["k", "i"])
     expected = pd.DataFrame(rows, columns=["k", "i", "w"]).sort_values(["k", "i"])["w"].cumsum()
     assert run["run"].tolist() == expected.tolist()
+
+
+def test_rank_in_order_of_several_columns(spark):
+    rows = [(a, b, i) for i, (a, b) in enumerate(
+        [(1, "x"), (1, "x"), (None, "y"), (2, None), (2, "z"), (1, "a"), (None, "y"), (2, "z")])]
+    df = spark.createDataFrame(rows, "a int, b string, i int")
+    want = df.withColumn("rank", F.rank().over(Window.orderBy(F.col("a").asc(), F.desc("b"))).cast("bigint"))
+    got = rank_in_order(df, ["a", "-b"], "rank", ["i"])
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    assert rank_in_order(df.where("false"), ["a"]).count() == 0
