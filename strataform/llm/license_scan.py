@@ -1,10 +1,11 @@
 """License scans by an exact set-similarity join, in DataFrame functions only.
 
-Texts are split into blocks (sentences and lines).  A block matches a template
-when it holds at least ``threshold`` of the template's distinct words.  The join
-finds every such pair without comparing all of them:
+Texts are split into blocks at sentence ends and blank lines; a single line feed
+ends none, so a notice wrapped over lines is one block.  A block matches a
+template when it holds at least ``threshold`` of the template's distinct words.
+The join finds every such pair without comparing all of them:
 
-* words are put in one global order, rarest in the corpus first; a block that
+* words are put in one global order, rarest in the blocks first; a block that
   holds c of a template's t words holds one of its t - c + 1 rarest, so only
   blocks with a word of that prefix are candidates (prefix filter);
 * a block with fewer than c template words cannot match (length filter);
@@ -15,12 +16,15 @@ finds every such pair without comparing all of them:
 Besides, every place where the words of a known phrase stand consecutively is
 counted, and gives that phrase's label.
 
-The templates are a fixed list, so everything kept per template is bounded;
-word counts cover all blocks of all texts.
+The templates are a fixed list, so everything kept per template is bounded.  The
+order counts template words over every block of every text that holds enough of
+them to match the shortest template; any order gives the same matches.
 
-Defined results: null text counts as empty: no words, no labels, score 0;
-repeated rows and null ids give one row each; an empty table gives no row; other
-columns are ignored.
+Defined results: null text counts as empty: no words, no labels, score 0; a very
+long text is scanned whole, and of a block, however long, only its distinct
+template words are kept; words equally rare are ordered by themselves, and of
+blocks that match a template equally well one counts; repeated rows and null ids
+give one row each; an empty table gives no row; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -60,7 +64,9 @@ THRESHOLD = 0.8
 
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_BLOCK_END = r"\n|[.!?;] "
+#: A sentence end before white space, or blank lines.
+_SPACE = r"[\x20\x09-\x0D]"
+BLOCK_END = rf"[.!?;]{_SPACE}|\n[\x20\x09\x0B-\x0D]*\n"
 
 
 def _phrase(words: str) -> str:
@@ -106,7 +112,7 @@ def blocks_of(lower: str, vocabulary: list[str], least: int) -> Column:
     """For each block of the text its distinct words that are in the
     vocabulary, if there are at least ``least`` of them."""
     known = F.array(*map(F.lit, vocabulary))
-    words = F.transform(F.split(F.col(lower), _BLOCK_END),
+    words = F.transform(F.split(F.col(lower), BLOCK_END),
                         lambda b: F.array_intersect(F.split(b, _GAP), known))
     return F.filter(words, lambda w: F.size(w) >= least)
 

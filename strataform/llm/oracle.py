@@ -1,6 +1,6 @@
 """DuckDB statements for the queries of this subpackage that SQL can express."""
 
-from .license_scan import PHRASES, TEMPLATES, THRESHOLD
+from .license_scan import BLOCK_END, PHRASES, TEMPLATES, THRESHOLD
 
 MINHASH_DEDUP = r"""
 WITH RECURSIVE w AS (
@@ -82,7 +82,7 @@ s AS (SELECT label, list_distinct(string_split(template, ' ')) AS s FROM m),
 b AS (
   SELECT doc_id, list_distinct(regexp_extract_all(
            block, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS b
-  FROM (SELECT doc_id, unnest(string_split_regex(t, '\n|[.!?;] ')) AS block FROM t)),
+  FROM (SELECT doc_id, unnest(string_split_regex(t, '{BLOCK_END}')) AS block FROM t)),
 c AS (
   SELECT doc_id, label, max(len(list_intersect(s, b)) / len(s)) AS c
   FROM b, s GROUP BY ALL),

@@ -52,3 +52,32 @@ def test_first_place_behind_supplementary_characters(spark):
     got = {r.doc_id: (r.first_word, r.last_word) for r in license_scan.scan(
         spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     assert got == {1: (1, 1), 2: (3, 5)}
+
+
+#: Notices as they stand in files, wrapped over lines.
+WRAPPED = {
+    "mit-grant": "Copyright (c) 2020 A Name\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\n"
+                 "of this software and associated documentation files (the \"Software\"), to deal\nin the Software "
+                 "without restriction.",
+    "bsd": "/*\n * Redistribution and use in source and binary forms, with or without\n * modification, are permitted "
+           "provided that the following conditions\n * are met:\n *\n * 1. Redistributions of source code",
+    "mpl-2.0": "# This Source Code Form is subject to the terms of the Mozilla Public\r\n# License, v. 2.0. If a copy "
+               "of the MPL was not distributed with this\r\n# file, You can obtain one.",
+    "apache-2.0": "Licensed under the Apache License,\nVersion 2.0 (the \"License\");\nyou may not use this file",
+}
+
+
+def test_wrapped_notices(spark):
+    import pandas as pd
+
+    rows = [(i, text, label) for i, (label, text) in enumerate(sorted(WRAPPED.items()))]
+    # A sentence end, a blank line and a blank line of spaces each part the words.
+    cut = [(10, "released under. the mit\n\nsoftware license", ""),
+           (11, "all rights\n \t\nreserved", ""), (12, "all rights\nreserved", "all-rights-reserved"),
+           (13, "all rights;\treserved", ""), (14, "all rights;reserved", "all-rights-reserved")]
+    frame = pd.DataFrame([r[:2] for r in rows + cut], columns=["doc_id", "text"])
+    found = license_scan.scan(spark.createDataFrame(frame))
+    labels = {r.doc_id: set(r.labels.split(",")) for r in found.collect()}
+    assert all(label in labels[i] for i, _, label in rows)
+    assert all(labels[i] == {label} for i, _, label in cut)
+    assert as_rows(found, COLUMNS) == as_rows(in_duckdb(oracle.LICENSE_SCAN, documents=frame), COLUMNS)
