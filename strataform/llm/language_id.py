@@ -5,26 +5,31 @@ language has several centroids, found by spherical k-means; a text gets the
 language of the centroid with the largest cosine.  A text that is much farther
 from every centroid than texts of its length usually are is rejected.
 
-Learning: document frequencies, and the last centroid update, cover every
-learning text, as sums over partitions.  Only the k-means seeds and the usual
-distances by length come from a sample of about ``SAMPLE_PER_LANGUAGE`` texts a
-language (a documented bound; drawn by a hash of the text).
+Learning: document frequencies, the last centroid update and the limits of
+rejection cover every learning text, as sums over partitions.  The limits come
+from three counts by length: how near learning texts are to centroids of their
+own language (each left out of its centroid), how near to those of other
+languages, and how near their shuffled characters are to any.  Only the k-means
+seeds come from a sample: of each language the ``SAMPLE_PER_LANGUAGE`` distinct
+texts with the smallest hashes (a documented bound).
 
 Defined results: a text that is null or has no letter is ``und`` with score 0
 and is rejected; with nothing to learn from, every text is ``und``; ties go to
-the language first in order; repeated rows and null ids give one row each; an
+the language first in order; a very long text is read whole, and lengths beyond
+the last class share its limit; repeated rows and null ids give one row each; an
 empty table gives no row; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,9 +39,12 @@ from .ngrams import trigram_counts
 DIMS = 1 << 12
 CLUSTERS = 4
 SAMPLE_PER_LANGUAGE = 400
-#: A text is rejected below this share of the similarity that all but a
-#: twentieth of the learning texts of its length have.
-REJECT_SHARE = 0.15
+#: Length classes (log2 of the number of trigrams), steps of a counted cosine, and
+#: the learning texts that a class must have to get a limit of its own.
+LENGTHS, BINS, ENOUGH = 16, 512, 20
+#: The limit lies between the cosine that all but ``KEPT_ASIDE`` of a language's
+#: texts reach and the one that ``OTHERS`` of the other texts stay below.
+KEPT_ASIDE, OTHERS, BETWEEN = 0.001, 0.99, 0.5
 UNDETERMINED = "und"
 
 
@@ -45,7 +53,7 @@ class Model:
     languages: list[str]  # of each centroid
     idf: np.ndarray
     centroids: np.ndarray  # (centroids, dims), unit length
-    usual: np.ndarray  # similarity by log2 of the number of trigrams
+    limits: np.ndarray  # least cosine by log2 of the number of trigrams
 
     def predict(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Nearest centroid, its cosine and whether it is too far."""
@@ -53,11 +61,11 @@ class Model:
         cosine = vectors @ self.centroids.T
         best = cosine.argmax(axis=1)
         score = np.clip(cosine[np.arange(len(best)), best], 0.0, 1.0).astype(np.float64)
-        return best, score, score < REJECT_SHARE * self.usual[length_class(counts.sum(axis=1))]
+        return best, score, score < self.limits[length_class(counts.sum(axis=1))]
 
 
 def length_class(trigrams: np.ndarray) -> np.ndarray:
-    return np.minimum(np.log2(np.maximum(trigrams, 1)).astype(np.int64), 15)
+    return np.minimum(np.log2(np.maximum(trigrams, 1)).astype(np.int64), LENGTHS - 1)
 
 
 def tf_idf(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -106,39 +114,35 @@ def _seed_centroids(sample: np.ndarray, clusters: int, rounds: int = 12) -> np.n
     return centroids
 
 
+def _sample(learning: DataFrame, per_language: int) -> DataFrame:
+    """The ``per_language`` distinct texts of each language with the smallest hashes."""
+    hashed = learning.withColumn("h", F.xxhash64("text"))
+    first = Window.partitionBy("lang").orderBy("h")
+    # Hashes only; each task passes on its smallest of a language.
+    chosen = hashed.select("lang", "h").distinct().withColumn(
+        "place", F.row_number().over(first)).where(F.col("place") <= per_language).drop("place")
+    return hashed.join(chosen, ["lang", "h"], "left_semi").groupBy("lang", "h").agg(
+        F.min("text").alias("text"))
+
+
 def _seeds(learning: DataFrame, idf: np.ndarray, dims: int, clusters: int,
            per_language: int) -> DataFrame:
-    """Seed centroids (lang, cluster, vector) and the sample's similarity to
-    them by length (lang, cluster null, classes, similarities)."""
-    counts = learning.groupBy("lang").count()
-    share = F.least(F.lit(1.0), F.lit(float(per_language)) / F.col("count"))
-    place = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    # One row for each language.
-    sample = learning.join(F.broadcast(counts), "lang").where(place < share).select("lang", "text")
+    """Seed centroids of each language: lang, cluster, vector."""
 
     def fit(frame: pd.DataFrame) -> pd.DataFrame:
-        some = [(tf_idf(c, idf), length_class(c.sum(axis=1)))
-                for _, _, c in trigram_counts(pa.array(frame["text"], pa.string()), dims)]
-        vectors = np.concatenate([v for v, _ in some])
-        classes = np.concatenate([c for _, c in some])
-        centroids = _seed_centroids(vectors, clusters)
-        near = (vectors @ centroids.T).max(axis=1)
-        rows = [(c, v.tobytes(), None, None) for c, v in enumerate(centroids.astype(np.float32))]
-        rows.append((None, None, classes.tolist(), near.astype(float).tolist()))
-        out = pd.DataFrame(rows, columns=["cluster", "vector", "classes", "near"])
-        out["cluster"] = out["cluster"].astype("Int64")
-        out.insert(0, "lang", frame["lang"].iloc[0])
-        return out
-
-    return sample.groupBy("lang").applyInPandas(
-        fit, "lang string, cluster bigint, vector binary, classes array<bigint>, "
-             "near array<double>")
+        vectors = np.concatenate([tf_idf(c, idf) for _, _, c in trigram_counts(
+            pa.array(frame.sort_values("h")["text"], pa.string()), dims)])
+        centroids = _seed_centroids(vectors, clusters).astype(np.float32)
+        return pd.DataFrame({"lang": frame["lang"].iloc[0], "cluster": range(len(centroids)),
+                             "vector": [v.tobytes() for v in centroids]})
+
+    return _sample(learning, per_language).groupBy("lang").applyInPandas(
+        fit, "lang string, cluster bigint, vector binary")
 
 
 def _refined(learning: DataFrame, languages: list[str], seeds: np.ndarray, idf: np.ndarray,
              dims: int) -> np.ndarray:
-    """Centroids as the mean direction of all learning texts nearest to each seed
-    of their language."""
+    """Sums of all learning texts nearest to each seed of their language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = {lang: np.flatnonzero([x == lang for x in languages]) for lang in set(languages)}
@@ -162,8 +166,82 @@ def _refined(learning: DataFrame, languages: list[str], seeds: np.ndarray, idf:
     found = rows.toPandas()  # centroids x dims at most
     total = np.zeros((len(languages), dims))
     total[found["centroid"], found["bin"]] = found["weight"]
-    norm = np.linalg.norm(total, axis=1, keepdims=True)
-    return np.where(norm > 0, total / np.maximum(norm, 1e-12), seeds).astype(np.float32)
+    return total.astype(np.float32)
+
+
+def shuffled(text: str) -> str:
+    """The characters of a text in another order, which the text alone decides."""
+    points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    order = np.random.default_rng(zlib.crc32(text.encode())).permutation(len(points))
+    return points[order].tobytes().decode("utf-32-le")
+
+
+def _similarities(learning: DataFrame, languages: list[str], seeds: np.ndarray, sums: np.ndarray,
+                  centroids: np.ndarray, idf: np.ndarray, dims: int) -> np.ndarray:
+    """Learning texts by kind, length class and cosine (in ``BINS`` steps): to the
+    nearest centroid of their language, themselves left out of it (kind 0); to the
+    nearest of another language (1); of the shuffled text to any (2)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((3, LENGTHS, BINS), np.int64)
+        lengths = np.square(sums.astype(np.float64)).sum(axis=1)
+        named = np.array(languages)
+
+        def add(kind: int, classes: np.ndarray, cosine: np.ndarray) -> None:
+            step = np.clip(cosine * BINS, 0, BINS - 1).astype(np.int64)
+            np.add.at(total[kind], (classes, step), 1)
+
+        for batch in batches:
+            langs = np.array(batch.column(0).to_pylist())
+            for a, b, counts in trigram_counts(batch.column(1), dims):
+                vectors, classes = tf_idf(counts, idf), length_class(counts.sum(axis=1))
+                every = np.arange(b - a)
+                own = langs[a:b, None] == named[None, :]
+                owner = np.where(own, vectors @ seeds.T, -2).argmax(axis=1)
+                cosine = (vectors @ centroids.T).astype(np.float64)
+                dot = (vectors * sums[owner]).sum(axis=1, dtype=np.float64)
+                rest = np.sqrt(np.maximum(lengths[owner] - 2 * dot + 1, 0))
+                other = np.where(own, -1, cosine).max(axis=1)
+                add(1, classes[other >= 0], other[other >= 0])
+                cosine[every, owner] = np.where(rest > 1e-3, (dot - 1) / np.maximum(rest, 1e-3), 0)
+                add(0, classes, np.where(own, cosine, -1).max(axis=1))
+            mixed = pa.array([shuffled(t) for t in batch.column(1).to_pylist()], pa.string())
+            for _, _, counts in trigram_counts(mixed, dims):
+                add(2, length_class(counts.sum(axis=1)),
+                    (tf_idf(counts, idf) @ centroids.T).max(axis=1))
+        found = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays(
+            [*map(pa.array, found), pa.array(total[found])], names=["kind", "length", "step", "n"])
+
+    rows = learning.select("lang", "text").mapInArrow(
+        run, "kind bigint, length bigint, step bigint, n bigint").groupBy(
+        "kind", "length", "step").agg(F.sum("n").alias("n")).toPandas()  # 3 x LENGTHS x BINS
+    total = np.zeros((3, LENGTHS, BINS), np.int64)
+    total[rows["kind"], rows["length"], rows["step"]] = rows["n"]
+    return total
+
+
+def _quantile(steps: np.ndarray, share: float) -> float:
+    """The cosine that ``share`` of the counted texts stay below."""
+    if not steps.sum():
+        return 0.0
+    return int(np.searchsorted(np.cumsum(steps), share * steps.sum())) / BINS
+
+
+def limits(similarities: np.ndarray) -> np.ndarray:
+    """The cosine below which a text of each length is rejected: between what texts
+    of no or another language reach and what nearly all of the language do, and
+    never above the latter.  A length with too few texts takes the limit of the
+    next shorter one, or none."""
+    out, last = np.zeros(LENGTHS), 0.0
+    for c in range(LENGTHS):
+        own, other, mixed = similarities[:, c]
+        if own.sum() >= ENOUGH:
+            near = _quantile(own, KEPT_ASIDE)
+            far = max(_quantile(other, OTHERS), _quantile(mixed, OTHERS))
+            last = far + BETWEEN * (near - far) if near > far else near
+        out[c] = last
+    return out
 
 
 def fit(docs: DataFrame, learn: Column, dims: int = DIMS, clusters: int = CLUSTERS,
@@ -174,22 +252,16 @@ def fit(docs: DataFrame, learn: Column, dims: int = DIMS, clusters: int = CLUSTE
     seen, n = document_frequencies(learning, dims)
     idf = (np.log((1 + n) / (1 + seen)) + 1).astype(np.float32)
     rows = sorted(_seeds(learning, idf, dims, clusters, per_language).collect(),
-                  key=lambda r: (r["lang"], r["cluster"] is None, r["cluster"]))
-    named = [r for r in rows if r["cluster"] is not None]
-    if not named:
-        return Model([], idf, np.zeros((0, dims), np.float32), np.zeros(16))
-    languages = [r["lang"] for r in named]
-    seeds = np.stack([np.frombuffer(r["vector"], np.float32) for r in named])
-    by_class: dict[int, list[float]] = {}
-    for r in rows:
-        for c, s in zip(r["classes"] or [], r["near"] or [], strict=True):
-            by_class.setdefault(c, []).append(s)
-    # Classes without a sample take the value of the next shorter one, or none.
-    usual, last = np.zeros(16), 0.0
-    for c in range(16):
-        last = float(np.quantile(by_class[c], 0.05)) if c in by_class else last
-        usual[c] = last
-    return Model(languages, idf, _refined(learning, languages, seeds, idf, dims), usual)
+                  key=lambda r: (r["lang"], r["cluster"]))
+    if not rows:
+        return Model([], idf, np.zeros((0, dims), np.float32), np.zeros(LENGTHS))
+    languages = [r["lang"] for r in rows]
+    seeds = np.stack([np.frombuffer(r["vector"], np.float32) for r in rows])
+    sums = _refined(learning, languages, seeds, idf, dims)
+    norm = np.linalg.norm(sums, axis=1, keepdims=True)
+    centroids = np.where(norm > 0, sums / np.maximum(norm, 1e-12), seeds)
+    return Model(languages, idf, centroids, limits(
+        _similarities(learning, languages, seeds, sums, centroids, idf, dims)))
 
 
 def classify(docs: DataFrame, model: Model, text_col: str = "text",
