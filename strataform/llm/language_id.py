@@ -46,6 +46,8 @@ LENGTHS, BINS, ENOUGH = 16, 512, 20
 #: texts reach and the one that ``OTHERS`` of the other texts stay below.
 KEPT_ASIDE, OTHERS, BETWEEN = 0.001, 0.99, 0.5
 UNDETERMINED = "und"
+#: Shares of a language's hashes from which the smallest are taken first.
+SHARES = 64
 
 
 @dataclass
@@ -117,11 +119,15 @@ def _seed_centroids(sample: np.ndarray, clusters: int, rounds: int = 12) -> np.n
 def _sample(learning: DataFrame, per_language: int) -> DataFrame:
     """The ``per_language`` distinct texts of each language with the smallest hashes."""
     hashed = learning.withColumn("h", F.xxhash64("text"))
-    first = Window.partitionBy("lang").orderBy("h")
-    # Hashes only; each task passes on its smallest of a language.
-    chosen = hashed.select("lang", "h").distinct().withColumn(
-        "place", F.row_number().over(first)).where(F.col("place") <= per_language).drop("place")
-    return hashed.join(chosen, ["lang", "h"], "left_semi").groupBy("lang", "h").agg(
+    # Hashes only: the smallest of each share of a language, then of the language.
+    found = hashed.select("lang", "h").distinct()
+    for share in (F.pmod("h", F.lit(SHARES)), F.lit(0)):
+        smallest = Window.partitionBy("lang", share).orderBy("h")
+        found = found.withColumn("place", F.row_number().over(smallest)).where(
+            F.col("place") <= per_language).drop("place")
+    last = found.groupBy("lang").agg(F.max("h").alias("last"))
+    # One row for each language.
+    return hashed.join(F.broadcast(last), "lang").where("h <= last").groupBy("lang", "h").agg(
         F.min("text").alias("text"))
 
 
