@@ -76,6 +76,16 @@ def q_fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _wh(spark, sf_dir).star["fact_sales"].drop("fact_id")
 
 
+def q_fact_sales_heavy_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same fact, with the lines of orders that hold more than a 64th of all
+    lines spread for the join to their header."""
+    wh = _wh(spark, sf_dir)
+    stg, star = wh.staging, wh.star
+    return fact_sales(stg["stg_sales_order_items"], stg["stg_sales_orders"],
+                      stg["stg_product_returns"], star["dim_customer"], star["dim_product"],
+                      star["dim_store"], star["dim_employee"], with_fact_id=False, heavy_parts=64)
+
+
 def q_fact_sales_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fact with the customer version valid on the order date (after the
     change batch); orders placed before signup stay unresolved."""
@@ -313,6 +323,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["dim_customer_scd2"] = _star("dim_customer", after=True)
     q["customer_history"] = q_customer_history
     q["fact_sales"] = q_fact_sales
+    q["fact_sales_heavy_orders"] = q_fact_sales_heavy_orders
     q["fact_sales_as_of"] = q_fact_sales_as_of
     q["fact_sales_as_of_open_first"] = q_fact_sales_as_of_open_first
     for name in marts.MARTS:

@@ -483,6 +483,7 @@ SELECT customer_key, customer_id, full_name, city, valid_from, valid_to, is_curr
        row_number() OVER (PARTITION BY customer_id ORDER BY valid_from, customer_key) AS version_no
 FROM dim_customer_scd2""")
     out["fact_sales"] = _with(f"SELECT {FACT_COLS} FROM fact_sales")
+    out["fact_sales_heavy_orders"] = out["fact_sales"]
     out["fact_sales_as_of"] = _with(f"SELECT {FACT_COLS} FROM fact_sales_as_of")
     out["fact_sales_as_of_open_first"] = _with(f"SELECT {FACT_COLS} FROM fact_sales_as_of_open")
     for name, body in _marts("dim_customer_initial").items():

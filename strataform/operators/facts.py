@@ -31,6 +31,7 @@ from ..functions.calendar import date_key
 from ..functions.money import flag, line_amount, line_margin
 from ..sources.io import conform
 from .ordering import carry_forward
+from .skew import heavy_keys, spread_join
 
 
 def resolve_customer_current(orders: DataFrame, dim_customer: DataFrame) -> DataFrame:
@@ -96,14 +97,17 @@ def fact_sales(stg_items: DataFrame, stg_orders: DataFrame, stg_returns: DataFra
                dim_customer: DataFrame, dim_product: DataFrame, dim_store: DataFrame,
                dim_employee: DataFrame, *, key_mode: str = "current",
                open_first_version: bool = False, dedupe_returns: bool = False,
-               with_fact_id: bool = True, fact_id_start: int = 0) -> DataFrame:
+               with_fact_id: bool = True, fact_id_start: int = 0,
+               heavy_parts: int | None = None) -> DataFrame:
     """Build ``fact_sales`` at order-line grain.
 
     Lines whose order, customer, product, store or employee do not resolve are
     dropped (inner joins, as in the load); ``quality`` counts them.
     ``fact_id`` is unique but not dense (the source's keys are not dense
     either, and nothing reads it); ``fact_id_start`` continues the ids of
-    earlier loads.
+    earlier loads.  With ``heavy_parts`` given, the lines of orders that hold more
+    than that part of all lines are spread over as many shares for the join to
+    their header (one more pass over the order ids finds them).
     """
     headers = stg_orders.select("order_id", "customer_id", "store_id", "employee_id", "order_date")
     if key_mode == "current":
@@ -120,7 +124,11 @@ def fact_sales(stg_items: DataFrame, stg_orders: DataFrame, stg_returns: DataFra
 
     lines = stg_items.select("order_item_id", "order_id", "product_id", "quantity",
                              "unit_price_paid", "discount_pct")
-    lines = lines.join(headers, "order_id")
+    if heavy_parts is None:
+        lines = lines.join(headers, "order_id")
+    else:
+        heavy = heavy_keys(stg_items.select("order_id"), "order_id", heavy_parts)
+        lines = spread_join(lines, headers, "order_id", heavy, "order_item_id", heavy_parts)
     lines = lines.join(dim_product.select("product_id", "product_key", "unit_cost"), "product_id")
 
     returns = stg_returns.where(F.col("order_item_id").isNotNull()).groupBy("order_item_id").agg(

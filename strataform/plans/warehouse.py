@@ -362,9 +362,11 @@ def _build(spark: SparkSession, sf_dir: str | None, root: str, out_root: str,
         # Facts take keys from the initial dimensions (the change batch runs
         # at the same time and does not re-key facts).
         stg, star = state["staging"], state["initial"]
+        parts = spark.conf.get("spark.strataform.heavyParts", None)
         builders = {"fact_sales": lambda: fact_sales(
             stg["stg_sales_order_items"], stg["stg_sales_orders"], stg["stg_product_returns"],
-            star["dim_customer"], star["dim_product"], star["dim_store"], star["dim_employee"])}
+            star["dim_customer"], star["dim_product"], star["dim_store"], star["dim_employee"],
+            heavy_parts=int(parts) if parts else None)}
         written, rows = write_layer(spark, builders, out_root, "star")
         state["fact"] = written
         return "star", 1, rows["fact_sales"]

@@ -5,6 +5,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from strataform import schemas
 from strataform.operators.dimensions import dim_date
@@ -74,6 +75,24 @@ def test_fact_current_keys_returns_fanout_and_null_customer(spark):
     assert fact.select("fact_id").distinct().count() == 4
 
 
+def test_fact_with_heavy_orders_apart(spark):
+    from strataform.operators.skew import heavy_keys
+
+    items, orders, returns, customers, products, stores, employees = _star_inputs(spark)
+    # More lines of one order: it holds over a third of them.
+    kind = items.schema["order_item_id"].dataType
+    more = items.limit(1).withColumn("order_item_id", F.explode(F.sequence(
+        F.lit(1001).cast(kind), F.lit(1020).cast(kind))))
+    items = items.unionByName(more)
+    assert heavy_keys(items, "order_id", 3).count() == 1
+    tables = (items, orders, returns, customers, products, stores, employees)
+    plain = fact_sales(*tables, with_fact_id=False).collect()
+    apart = fact_sales(*tables, with_fact_id=False, heavy_parts=3).collect()
+    assert len(plain) > 20 and sorted(plain, key=repr) == sorted(apart, key=repr)
+    ids = [r.fact_id for r in fact_sales(*tables, heavy_parts=3).collect()]
+    assert len(set(ids)) == len(ids) == len(plain)
+
+
 @pytest.mark.parametrize("open_first", [False, True])
 def test_fact_as_of_keys(spark, open_first):
     items, orders, returns, customers, products, stores, employees = _star_inputs(spark)
