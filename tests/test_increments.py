@@ -42,6 +42,18 @@ def test_bitmaps_of_halves_merge_to_the_whole(spark):
         ids.agg(F.count_distinct("v")).first()[0]
 
 
+def test_scattered_ids_take_a_short_row_each(spark):
+    """Ids far apart: as many words as ids, of 8 bytes, combined in a hash table."""
+    ids = spark.range(0, 20_000).select((F.col("id") % 5).alias("k"), (F.col("id") * 100_003).alias("v"))
+    found = id_bitmaps(ids.unionByName(ids), ["k"], "v")
+    size = F.length(F.col("bitmap").cast("binary"))
+    assert found.agg(F.count(F.lit(1)), F.sum(size)).first() == (20_000, 20_000 * 8)
+    for df in (found, merge_bitmaps(found, ["k"]), count_ids(found, ["k"], "n")):
+        assert "SortAggregate" not in df._jdf.queryExecution().executedPlan().toString()
+    # Neighbours share a word.
+    assert id_bitmaps(spark.range(-640, 640).selectExpr("1 k", "id v"), ["k"], "v").count() == 20
+
+
 @pytest.fixture(scope="module")
 def star(spark):
     wh = warehouse.derive_warehouse(spark, SF_SMALL)
