@@ -93,6 +93,34 @@ def test_fact_with_heavy_orders_apart(spark):
     assert len(set(ids)) == len(ids) == len(plain)
 
 
+def test_fact_with_headers_last(spark):
+    """The same rows; no shuffle moves the lines for the products again, or the
+    keys of the header."""
+    tables = _star_inputs(spark)
+    plain = fact_sales(*tables, with_fact_id=False)
+    last = fact_sales(*tables, with_fact_id=False, headers_last=True)
+    assert last.columns == plain.columns
+    assert sorted(last.collect(), key=repr) == sorted(plain.collect(), key=repr) != []
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold",
+            "spark.sql.adaptive.enabled"]
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in zip(keys, ("-1", "-1", "false")):
+            spark.conf.set(k, v)
+        items, orders, returns, *dims = tables
+        parts = spark.range(0, 50).select(F.col("id").alias("p"))
+        items = items.join(parts, items["product_id"] == parts["p"]).drop("p")  # as derived
+
+        def exchanges(**how):
+            plan = fact_sales(items, orders, returns, *dims, with_fact_id=False, **how)
+            return plan._jdf.queryExecution().executedPlan().toString().count("Exchange hash")
+
+        assert exchanges(headers_last=True) == exchanges() - 1
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 @pytest.mark.parametrize("open_first", [False, True])
 def test_fact_as_of_keys(spark, open_first):
     items, orders, returns, customers, products, stores, employees = _star_inputs(spark)
