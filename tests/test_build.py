@@ -230,3 +230,22 @@ def test_violations_are_found(spark):
     failed = {r[0] for r in evaluate_checks(wh.source, staging, star, wh.changes) if not r[3]}
     assert {"Q01", "Q04", "Q05", "Q07", "Q07b", "Q09", "Q11", "Q12", "Q13", "Q14", "Q15", "Q19a",
             "Q19c", "Q19e"} <= failed
+
+
+def test_profiles_shuffle_bare_keys(spark):
+    """What is added up per table does not travel with the keys."""
+    from pyspark.sql import functions as F
+
+    from strataform.plans.quality import combined_profiles
+
+    rows = spark.createDataFrame([(1, "a", 2), (1, "a", None), (1, "b", 3), (None, "c", 4), (None, "c", 5)],
+                                 "k bigint, s string, v int")
+    found = combined_profiles({
+        "one": (rows, ["k"], ["k", "v"], {"total": F.col("v")}),
+        "two": (rows, ["k", "s"], [], {}),
+        "none": (rows.where("false"), ["k"], ["k"], {"other": F.col("v")})})
+    got = {r["t"]: (r["n"], r["dup"], r["nulls"], r["total"], r["other"]) for r in found.collect()}
+    assert got == {"one": (5, 3, 3, 14, None), "two": (5, 2, 0, None, None), "none": (0, 0, 0, None, None)}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    keyed = [x for x in plan.splitlines() if "keys=[_t#" in x and "_k#" in x]
+    assert keyed and not any("total" in x or "_nulls" in x for x in keyed)
