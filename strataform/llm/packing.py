@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import subwords
-from .common import scratch_table, texts_of
+from .common import scratch_table, text_blocks, texts_of
 
 _ROWS = 256  # documents tokenised at a time
 
@@ -51,8 +51,11 @@ def tokenised(docs: DataFrame, vocabulary: str, end_id: int, id_col: str = "doc_
         for batch in batches:
             for at in range(0, batch.num_rows, _ROWS):
                 some = batch.slice(at, _ROWS)
-                ids = [np.frombuffer(x, encoder.dtype).astype("<u4").tobytes() + end
-                       for x in encoder.encode_batch(texts_of(some.column(2)))]
+                ids = []
+                for first, last, *_ in text_blocks(some.column(2)):
+                    texts = texts_of(some.column(2).slice(first, last - first))
+                    ids += [np.frombuffer(x, encoder.dtype).astype("<u4").tobytes() + end
+                            for x in encoder.encode_batch(texts)]
                 n = np.asarray([len(x) // 4 for x in ids], np.int64)
                 starts = before + np.cumsum(n) - n
                 before += int(n.sum())

@@ -26,6 +26,7 @@ WHITE = ("\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u200
          "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 _WHITE_SET = frozenset(WHITE)
 _MARK = "\x00"
+_ENCODED = 2048  # parts the library encodes at a time; its results are far larger than their ids
 
 
 def _bytes_of_unicode_symbols() -> dict[str, int]:
@@ -205,9 +206,11 @@ class WordBpe(_PartCache):
         plain = [p for p in parts if self._PLAIN.fullmatch(p)]
         if len(plain) < len(parts):
             other = [p for p in parts if not self._PLAIN.fullmatch(p)]
-            for p, e in zip(other, self.library.encode_batch(other, add_special_tokens=False),
-                            strict=True):
-                self.cache[p] = np.asarray(e.ids, self.dtype).tobytes()
+            for at in range(0, len(other), _ENCODED):
+                some = other[at:at + _ENCODED]
+                for p, e in zip(some, self.library.encode_batch(some, add_special_tokens=False),
+                                strict=True):
+                    self.cache[p] = np.asarray(e.ids, self.dtype).tobytes()
         if not plain:
             return
         text = unicodedata.normalize("NFC", _MARK.join(plain) + _MARK).lower()

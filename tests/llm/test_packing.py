@@ -72,3 +72,39 @@ def test_edge_rows_are_packed_whole(edge_docs, library, window):
 
 def test_no_rows(no_docs):
     assert packing.pack(no_docs, WORDS).count() == 0
+
+
+def test_long_texts_are_encoded_a_few_at_a_time(monkeypatch):
+    """What is encoded at once is bounded by its size, not by its number of rows."""
+    import pyarrow as pa
+
+    most = []
+
+    class Encoder:
+        dtype = np.dtype("<u2")
+
+        def encode_batch(self, texts):
+            most.append(sum(map(len, texts)))
+            return [np.asarray([len(t) % 100], "<u2").tobytes() for t in texts]
+
+    class Rows:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):  # noqa: N802
+            n = 40
+            batch = pa.RecordBatch.from_arrays(
+                [pa.array(range(n), pa.int64()), pa.array([0] * n, pa.int32()),
+                 pa.array(["x" * 300_000] * n)], names=["doc_id", "part", "text"])
+            return pa.Table.from_batches(list(run(iter([batch]))))
+
+    monkeypatch.setattr(packing.subwords, "word_bpe", lambda _: Encoder())
+    monkeypatch.setattr(packing, "scratch_table", lambda df, _: df)
+    monkeypatch.setattr(packing.F, "spark_partition_id", lambda: packing.F)
+    monkeypatch.setattr(packing.F, "col", lambda _: packing.F)
+    for name in ("cast", "alias"):
+        monkeypatch.setattr(packing.F, name, lambda _: packing.F, raising=False)
+    out = packing.tokenised(Rows(), "words", 2)
+    assert out.column("doc_id").to_pylist() == list(range(40))
+    assert out.column("before").to_pylist() == list(range(0, 80, 2))
+    assert max(most) <= 2 << 20 and sum(most) == 40 * 300_000
