@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import texts_of, with_field
+from .common import text_blocks, texts_of, with_field
 from .ngrams import trigram_counts
 
 DIMS = 1 << 12
@@ -48,6 +48,8 @@ KEPT_ASIDE, OTHERS, BETWEEN = 0.001, 0.99, 0.5
 UNDETERMINED = "und"
 #: Shares of a language's hashes from which the smallest are taken first.
 SHARES = 64
+#: Rows and bytes of text that a step holds counts of at a time, at least one text.
+_ROWS, _BYTES = 64, 1 << 18
 
 
 @dataclass
@@ -75,6 +77,10 @@ def tf_idf(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
 
 
+def _counts(column: pa.Array, dims: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    return trigram_counts(column, dims, _ROWS, _BYTES)
+
+
 def _learning(docs: DataFrame, learn: Column, text_col: str, lang_col: str) -> DataFrame:
     return docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"),
@@ -87,7 +93,7 @@ def document_frequencies(learning: DataFrame, dims: int) -> tuple[np.ndarray, in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(dims + 1, np.int64)
         for batch in batches:
-            for _, _, counts in trigram_counts(batch.column(0), dims):
+            for _, _, counts in _counts(batch.column(0), dims):
                 total[:dims] += (counts > 0).sum(axis=0)
                 total[dims] += len(counts)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(dims + 1)), pa.array(total)],
@@ -136,7 +142,7 @@ def _seeds(learning: DataFrame, idf: np.ndarray, dims: int, clusters: int,
     """Seed centroids of each language: lang, cluster, vector."""
 
     def fit(frame: pd.DataFrame) -> pd.DataFrame:
-        vectors = np.concatenate([tf_idf(c, idf) for _, _, c in trigram_counts(
+        vectors = np.concatenate([tf_idf(c, idf) for _, _, c in _counts(
             pa.array(frame.sort_values("h")["text"], pa.string()), dims)])
         centroids = _seed_centroids(vectors, clusters).astype(np.float32)
         return pd.DataFrame({"lang": frame["lang"].iloc[0], "cluster": range(len(centroids)),
@@ -155,7 +161,7 @@ def _refined(learning: DataFrame, languages: list[str], seeds: np.ndarray, idf:
         total = np.zeros((len(languages), dims), np.float64)
         for batch in batches:
             langs = batch.column(0).to_pylist()
-            for a, b, counts in trigram_counts(batch.column(1), dims):
+            for a, b, counts in _counts(batch.column(1), dims):
                 vectors = tf_idf(counts, idf)
                 cosine = vectors @ seeds.T
                 for lang in set(langs[a:b]) & set(of):
@@ -199,7 +205,7 @@ def _similarities(learning: DataFrame, languages: list[str], seeds: np.ndarray,
 
         for batch in batches:
             langs = np.array(batch.column(0).to_pylist())
-            for a, b, counts in trigram_counts(batch.column(1), dims):
+            for a, b, counts in _counts(batch.column(1), dims):
                 vectors, classes = tf_idf(counts, idf), length_class(counts.sum(axis=1))
                 every = np.arange(b - a)
                 own = langs[a:b, None] == named[None, :]
@@ -211,10 +217,10 @@ def _similarities(learning: DataFrame, languages: list[str], seeds: np.ndarray,
                 add(1, classes[other >= 0], other[other >= 0])
                 cosine[every, owner] = np.where(rest > 1e-3, (dot - 1) / np.maximum(rest, 1e-3), 0)
                 add(0, classes, np.where(own, cosine, -1).max(axis=1))
-            mixed = pa.array([shuffled(t) for t in batch.column(1).to_pylist()], pa.string())
-            for _, _, counts in trigram_counts(mixed, dims):
-                add(2, length_class(counts.sum(axis=1)),
-                    (tf_idf(counts, idf) @ centroids.T).max(axis=1))
+                texts = batch.column(1).slice(a, b - a).to_pylist()
+                for _, _, counts in _counts(pa.array(map(shuffled, texts), pa.string()), dims):
+                    add(2, length_class(counts.sum(axis=1)),
+                        (tf_idf(counts, idf) @ centroids.T).max(axis=1))
         found = np.nonzero(total)
         yield pa.RecordBatch.from_arrays(
             [*map(pa.array, found), pa.array(total[found])], names=["kind", "length", "step", "n"])
@@ -271,34 +277,38 @@ def fit(docs: DataFrame, learn: Column, dims: int = DIMS, clusters: int = CLUSTE
 
 
 def classify(docs: DataFrame, model: Model, text_col: str = "text",
-             names: tuple[str, str, str] = ("lang_pred", "score", "rejected")) -> DataFrame:
+             names: tuple[str, str, str] = ("lang_pred", "score", "rejected"),
+             keep_text: bool = True) -> DataFrame:
     """``docs`` with three more columns: language, cosine, and whether the text is
-    too far from all centroids."""
+    too far from all centroids; without the text itself unless ``keep_text``."""
     spark = docs.sparkSession
     held = spark.sparkContext.broadcast(model)  # centroids x dims
-    columns = docs.columns
-    at = columns.index(text_col)
-    schema = with_field(docs.schema, (names[0], T.StringType()), (names[1], T.DoubleType()),
+    at = docs.columns.index(text_col)
+    kept = [i for i in range(len(docs.columns)) if keep_text or i != at]
+    columns = [docs.columns[i] for i in kept]
+    schema = with_field(T.StructType([docs.schema[i] for i in kept]), (names[0], T.StringType()), (names[1], T.DoubleType()),
                         (names[2], T.BooleanType()))
     dims = len(model.idf)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
         for batch in batches:
-            texts = texts_of(batch.column(at))
-            letters = [any(map(str.isalpha, t[:64])) or any(map(str.isalpha, t)) for t in texts]
-            langs, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
-            far = [True] * len(texts)
-            if m.languages:
+            n = batch.num_rows
+            langs, scores, far = [UNDETERMINED] * n, [0.0] * n, [True] * n
+            for first, last, *_ in text_blocks(batch.column(at)) if m.languages else ():
+                texts = texts_of(batch.column(at).slice(first, last - first))
+                letters = [any(map(str.isalpha, t[:64])) or any(map(str.isalpha, t)) for t in texts]
                 lowered = pa.array([t.lower() for t in texts], pa.string())
-                for a, b, counts in trigram_counts(lowered, dims):
+                for a, b, counts in _counts(lowered, dims):
                     best, score, reject = m.predict(counts)
                     for i, c, s, r in zip(range(a, b), best.tolist(), score.tolist(),
                                           reject.tolist(), strict=True):
                         if letters[i]:
+                            i += first
                             langs[i], scores[i], far[i] = m.languages[c], s, r
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(langs), pa.array(scores), pa.array(far)],
+                [*(batch.column(i) for i in kept), pa.array(langs, pa.string()),
+                 pa.array(scores, pa.float64()), pa.array(far, pa.bool_())],
                 names=[*columns, *names])
 
     return docs.mapInArrow(run, schema)
@@ -309,7 +319,7 @@ def identified(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col:
     """One row per document: doc_id, lang_pred, score, rejected."""
     model = fit(docs, learn, text_col=text_col, lang_col=lang_col, **parameters)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return classify(rows, model).drop("text")
+    return classify(rows, model, keep_text=False)
 
 
 def keep_identified(docs: DataFrame, learn: Column, text_col: str = "text",

@@ -16,17 +16,17 @@ for _b in range(0x80):
 _KEPT[0x41:0x5B] += 32
 
 
-def trigram_counts(column: pa.Array, dims: int, rows: int = 256
+def trigram_counts(column: pa.Array, dims: int, rows: int = 256, max_bytes: int = 1 << 20
                    ) -> Iterator[tuple[int, int, np.ndarray]]:
     """(first row, last row + 1, counts) with counts of shape (rows, dims), for
-    at most ``rows`` rows at a time.
+    at most ``rows`` rows and about ``max_bytes`` of text at a time.
 
     Letters are lowered, every other ASCII character counts as a space, and a
     space is added before and behind each text; ``dims`` is a power of two.
     """
     shift = np.uint32(32 - int(dims).bit_length() + 1)
     for at in range(0, len(column), rows):
-        for a, b, data, offsets in text_blocks(column.slice(at, rows)):
+        for a, b, data, offsets in text_blocks(column.slice(at, rows), max_bytes):
             n = b - a
             lengths = np.diff(offsets)
             padded = np.full(len(data) + 2 * n, 0x20, np.uint32)

@@ -1,5 +1,6 @@
 import base64
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -132,3 +133,41 @@ def test_sample_takes_distinct_texts(spark):
     sample = language_id._sample(learning, 20).collect()
     assert sum(r.lang == "en" for r in sample) == 20 == len({r.text for r in sample if r.lang == "en"})
     assert [r.text for r in sample if r.lang == "fr"] == ["un texte"]
+
+
+def test_passes_hold_a_few_texts_at_a_time():
+    """What a pass holds does not grow with the rows of a batch."""
+    dims, names = language_id.DIMS, ["de", "en"]
+    seeds = np.eye(2, dims, dtype=np.float32)
+    text = " ".join(f"word{i}" for i in range(2000))
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * 900), pa.array([text] * 900)], names=["lang", "text"])
+
+    class Rows:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):  # noqa: N802
+            tracemalloc.start()
+            self.found = list(run(iter([batch])))
+            self.peak = tracemalloc.get_traced_memory()[1]
+            tracemalloc.stop()
+            raise StopIteration
+
+    rows = Rows()
+    with pytest.raises(StopIteration):
+        language_id._similarities(rows, names, seeds, seeds * 9, seeds, np.ones(dims, np.float32), dims)
+    found = rows.found[0].to_pydict()
+    assert [sum(n for k, n in zip(found["kind"], found["n"]) if k == kind) for kind in range(3)] == [900] * 3
+    assert rows.peak < 24e6
+
+
+def test_identified_does_not_bring_texts_back_from_python(edge_docs, model, monkeypatch):
+    schemas = []
+    plain = type(edge_docs).mapInArrow
+    monkeypatch.setattr(type(edge_docs), "mapInArrow", lambda self, run, schema, *a: (
+        schemas.append(schema), plain(self, run, schema, *a))[1])
+    monkeypatch.setattr(language_id, "fit", lambda *_, **__: model)
+    got = language_id.identified(edge_docs, F.lit(True))
+    assert [s.fieldNames() for s in schemas] == [["doc_id", "lang_pred", "score", "rejected"]]
+    want = language_id.classify(edge_docs.select("doc_id", "text"), model).drop("text")
+    assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
